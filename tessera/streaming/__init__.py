@@ -1,0 +1,6 @@
+"""Streaming sources for the same operators.
+
+The original programs have no streaming part; nothing here adds a new
+operator. The operators are plain DataFrame transformations, so the ones
+without a driver loop run unchanged on a streaming DataFrame.
+"""
