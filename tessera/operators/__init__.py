@@ -2,7 +2,7 @@
 
 from .aggregates import list_max, list_sum
 from .clusters import cluster_report, cluster_results
-from .kmeans import (
+from .clustering import (
     EmptyClusterError,
     KMeansResult,
     assign,

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..constants import CLUSTER_REPORT_FORMAT
 from ..functions.geometry import Point
 from ..functions.text import check_vocabulary, vocabulary_array
-from .kmeans import _weight, assign, int_div
+from .clustering import _weight, assign, int_div
 
 
 def cluster_results(

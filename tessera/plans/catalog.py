@@ -12,7 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import aggregates, clusters, kmeans, postings, ranking, sampling, survey
+from ..operators import aggregates, clusters, postings, ranking, sampling, survey
+from ..operators import clustering as km
 from ..schemas import CENTRE
 from ..session import materialize
 from ..sources.survey import survey_typed
@@ -124,8 +125,8 @@ def starting_sample(points: DataFrame) -> DataFrame:
     return sampling.sample_per_language(points, B.TAG_TERMS, B.CLUSTER_KERNELS, B.CLUSTER_SEED)
 
 
-def run_kmeans(points: DataFrame, centres) -> kmeans.KMeansResult:
-    return kmeans.kmeans(
+def run_kmeans(points: DataFrame, centres) -> km.KMeansResult:
+    return km.kmeans(
         points,
         centres,
         eta=B.CLUSTER_ETA,
@@ -154,29 +155,29 @@ def sample_global(spark, sf_dir):
 def point_distance(spark, sf_dir):
     points = clustering_points(spark, sf_dir)
     centres = sampling.take_centres(starting_sample(points))
-    return kmeans.point_distance(sampling.distinct_vectors(points), centres)
+    return km.point_distance(sampling.distinct_vectors(points), centres)
 
 
 @query("nearest_center")
 def nearest_center(spark, sf_dir):
     points = clustering_points(spark, sf_dir)
     centres = sampling.take_centres(starting_sample(points))
-    return kmeans.nearest_center(sampling.distinct_vectors(points), centres)
+    return km.nearest_center(sampling.distinct_vectors(points), centres)
 
 
 @query("average_vectors")
 def average_vectors(spark, sf_dir):
     points = clustering_points(spark, sf_dir)
     centres = sampling.take_centres(starting_sample(points))
-    assigned = kmeans.assign(points, centres)
-    return kmeans.average_vectors(assigned, by=("cx", "cy"))
+    assigned = km.assign(points, centres)
+    return km.average_vectors(assigned, by=("cx", "cy"))
 
 
 @query("kmeans_step")
 def kmeans_step(spark, sf_dir):
     points = clustering_points(spark, sf_dir)
     centres = sampling.take_centres(starting_sample(points))
-    new = kmeans.kmeans_step(points, centres)
+    new = km.kmeans_step(points, centres)
     rows = [(i, o[0], o[1], n[0], n[1]) for i, (o, n) in enumerate(zip(centres, new))]
     return spark.createDataFrame(rows, "pos int, old_x int, old_y int, new_x int, new_y int")
 
@@ -186,8 +187,8 @@ def centers_distance(spark, sf_dir):
     points = clustering_points(spark, sf_dir)
     start = starting_sample(points)
     centres = sampling.take_centres(start)
-    moved = kmeans.centres_frame(spark, kmeans.kmeans_step(points, centres))
-    return kmeans.centers_distance(start, moved)
+    moved = km.centres_frame(spark, km.kmeans_step(points, centres))
+    return km.centers_distance(start, moved)
 
 
 @query("kmeans")
