@@ -5,7 +5,8 @@ maximum score per parent id with a partial aggregation (one row per parent
 per map task, so a question holding a third of all answers is not a hot
 task), and only that reduced side meets the questions in the join. The
 question side is deduplicated on the same key, so the join reuses that
-partitioning instead of shuffling again.
+partitioning instead of shuffling again. :func:`question_vectors` goes
+further for the clustering input: one scan and one aggregation, no join.
 """
 
 from __future__ import annotations
@@ -106,6 +107,44 @@ def vector_postings(scored: DataFrame, langs: Sequence[str], spread: int) -> Dat
     )
 
 
+def question_vectors(postings: DataFrame, langs: Sequence[str], spread: int, strict: bool = False) -> DataFrame:
+    """``vector_postings(scored_postings(postings), langs, spread)`` in one pass.
+
+    The vectors need, per question id, only the question's vocabulary
+    position and the best answer score, all fixed-width values. So instead
+    of scanning the postings once per join side, every posting is projected
+    to ``(question id, tag position if a question, score if an answer)`` and
+    one hash aggregation on the question id combines both kinds of rows: a
+    single scan, a single shuffle of partial aggregates, no join. A question
+    id with several question rows uses the one whose tag comes first in the
+    vocabulary (unknown tags first).
+    """
+    terms = check_vocabulary(langs)
+    if spread <= 0:
+        raise ValueError("spread must be positive, or the term cannot be recovered from x")
+    is_question = F.col("posting_type") == QUESTION
+    is_answer = F.col("posting_type") == ANSWER
+    parent = F.col("parent_id")
+    if strict:
+        parent = F.coalesce(parent, F.raise_error(F.lit("answer posting without a parent id")))
+    keyed = postings.where(is_question | is_answer).select(
+        F.when(is_question, F.col("id")).otherwise(parent).alias("qid"),
+        F.when(is_question, F.coalesce(term_position("tags", terms), F.lit(0))).alias("tag_pos"),
+        F.when(is_answer, F.col("score")).alias("answer_score"),
+    )
+    per_question = keyed.where(F.col("qid").isNotNull()).groupBy("qid").agg(
+        F.min("tag_pos").alias("tag_pos"),
+        F.max("answer_score").alias("best"),
+    )
+    # A question must exist with a known tag (null tags count as unknown, 0)
+    # and have at least one answer (best not null).
+    known = (F.col("tag_pos") > 0) & F.col("best").isNotNull()
+    return per_question.where(known).select(
+        ((F.col("tag_pos") - 1) * spread).cast("int").alias("x"),
+        F.greatest(F.col("best"), F.lit(0)).cast("int").alias("y"),
+    )
+
+
 def weighted_vectors(vectors: DataFrame) -> DataFrame:
     """Distinct points with their multiplicity: ``(x, y, n)``.
 

@@ -100,8 +100,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vectors(spark: SparkSession, sf_dir: str, spread: int = CLUSTER_SPREAD) -> DataFrame:
     """``(x, y)`` for every answered question with a tag in ``TAG_TERMS``."""
-    scored = qa.scored_postings(postings(spark, sf_dir))
-    return qa.vector_postings(scored, TAG_TERMS, spread)
+    return qa.question_vectors(postings(spark, sf_dir), TAG_TERMS, spread)
 
 
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,16 +14,19 @@ from ..functions.casts import required_cast, strict_cast
 
 
 def parse_postings(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Parse comma-separated posting lines; a narrow projection (no shuffle)."""
-    fields = F.split(F.col(column), ",", -1)
+    """Parse comma-separated posting lines; a narrow projection (no shuffle).
+
+    Each line is split once into an array column that every field reads.
+    """
+    split = lines.select(F.split(F.col(column), ",", -1).alias("_fields"))
 
     def field(i: int):
-        return F.get(fields, i)  # null past the end, never an error
+        return F.get(F.col("_fields"), i)  # null past the end, never an error
 
     def optional(i: int):
         return F.nullif(field(i), F.lit(""))
 
-    return lines.select(
+    return split.select(
         required_cast(field(0), "int", "posting type").alias("posting_type"),
         required_cast(field(1), "int", "posting id").alias("id"),
         strict_cast(optional(2), "int", "accepted answer id").alias("accepted_answer"),
