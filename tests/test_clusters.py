@@ -1,0 +1,38 @@
+"""Cluster results and report (FIXTURES C4)."""
+
+from __future__ import annotations
+
+from tessera.operators.clusters import cluster_report, cluster_results
+from tessera.operators.postings import weighted_vectors
+
+
+def results(spark, points):
+    df = spark.createDataFrame(points, "x int, y int")
+    return [tuple(r) for r in cluster_results([(0, 4)], df, ["sql", "java"], 50000).collect()]
+
+
+def test_odd_cluster(spark):
+    assert results(spark, [(0, 1), (0, 4), (50000, 9)]) == [("sql", 66.0, 3, 4)]
+
+
+def test_even_cluster_median_is_truncated_mean(spark):
+    assert results(spark, [(0, 1), (0, 4), (0, 7), (50000, 9)]) == [("sql", 75.0, 4, 5)]
+    assert results(spark, [(0, -3), (0, 0)]) == [("sql", 100.0, 2, -1)]
+
+
+def test_dominant_tie_takes_smaller_x_and_weighted_input_matches(spark):
+    raw = spark.createDataFrame([(50000, 1), (0, 2), (0, 3), (50000, 5)], "x int, y int")
+    a = [tuple(r) for r in cluster_results([(0, 0)], raw, ["sql", "java"], 50000).collect()]
+    b = [tuple(r) for r in cluster_results([(0, 0)], weighted_vectors(raw), ["sql", "java"], 50000).collect()]
+    assert a == b == [("sql", 50.0, 4, 2)]
+
+
+def test_sorted_by_median_and_report_format(spark):
+    df = spark.createDataFrame([(0, 1), (0, 2), (50000, 100), (50000, 90)], "x int, y int")
+    res = cluster_results([(0, 0), (50000, 95)], df, ["sql", "java"], 50000)
+    assert [r.median_score for r in res.collect()] == [1, 95]
+    lines = [r.line for r in cluster_report(res).collect()]
+    assert lines == [
+        "      1  sql               (100.0%)            2",
+        "     95  java              (100.0%)            2",
+    ]
