@@ -1,12 +1,14 @@
 """Questions, answers, their join, best scores and 2-D vectors.
 
-Scoring never gathers a question's answers: answers are reduced to their
-maximum score per parent id with a partial aggregation (one row per parent
-per map task, so a question holding a third of all answers is not a hot
-task), and only that reduced side meets the questions in the join. The
-question side is deduplicated on the same key, so the join reuses that
-partitioning instead of shuffling again. :func:`question_vectors` goes
-further for the clustering input: one scan and one aggregation, no join.
+Scoring never gathers a question's answers and needs no join: questions
+and answers meet in one aggregation keyed by question id, combined map-side
+(one row per question per map task, so a question holding a third of all
+answers is not a hot task). :func:`question_vectors` does the same with
+fixed-width values only, so its aggregation is hash-based.
+
+Filters on parsed fields are avoided before these aggregations: Catalyst
+pushes such filters below the parsing projection, where they re-run the
+parse for every reference.
 """
 
 from __future__ import annotations
@@ -75,18 +77,31 @@ def scored_postings(postings: DataFrame, strict: bool = False) -> DataFrame:
 
     Columns: the question's posting fields, then ``high_score``. If several
     questions share an id, the smallest posting row is kept.
+
+    One aggregation keyed by question id replaces the join: question rows
+    contribute their posting (as a struct) and answer rows their score, so
+    the postings are scanned once and shuffled once as partial aggregates.
+    The struct holds a string, which makes the aggregation sort-based; it
+    still combines map-side, so a heavily answered question sends one row
+    per map task. No filter precedes the aggregation, because a filter on a
+    parsed field would be pushed below the parser and re-run it.
     """
+    is_question = F.col("posting_type") == QUESTION
+    is_answer = F.col("posting_type") == ANSWER
+    parent = F.col("parent_id")
+    if strict:
+        parent = F.coalesce(parent, F.raise_error(F.lit("answer posting without a parent id")))
     others = [c for c in POSTING_COLUMNS if c != "id"]
-    single = questions(postings).groupBy("id").agg(F.min(F.struct(*others)).alias("q"))
-    best = (
-        _answers_checked(postings, strict)
-        .where(F.col("parent_id").isNotNull())
-        .groupBy("parent_id")
-        .agg(F.max("score").alias("best"))
+    keyed = postings.select(
+        F.when(is_question, F.col("id")).when(is_answer, parent).alias("qid"),
+        F.when(is_question, F.struct(*others)).alias("q"),
+        F.when(is_answer, F.col("score")).alias("answer_score"),
     )
-    joined = single.join(best, single.id == best.parent_id, "inner")
-    return joined.select(
-        *[F.col("id") if c == "id" else F.col(f"q.{c}").alias(c) for c in POSTING_COLUMNS],
+    per_question = keyed.groupBy("qid").agg(F.min("q").alias("q"), F.max("answer_score").alias("best"))
+    # The null-key group never holds a question, so "q is not null" drops it.
+    answered = per_question.where(F.col("q").isNotNull() & F.col("best").isNotNull())
+    return answered.select(
+        *[F.col("qid").alias("id") if c == "id" else F.col(f"q.{c}").alias(c) for c in POSTING_COLUMNS],
         F.greatest(F.col("best"), F.lit(0)).alias("high_score"),
     )
 
@@ -127,17 +142,23 @@ def question_vectors(postings: DataFrame, langs: Sequence[str], spread: int, str
     parent = F.col("parent_id")
     if strict:
         parent = F.coalesce(parent, F.raise_error(F.lit("answer posting without a parent id")))
-    keyed = postings.where(is_question | is_answer).select(
-        F.when(is_question, F.col("id")).otherwise(parent).alias("qid"),
+    # No row filter before the aggregation: a filter on parsed fields would be
+    # pushed below the parser and evaluate it twice. Other posting types and
+    # answers without a parent get a null key, whose group has no question
+    # and is dropped by the final filter.
+    keyed = postings.select(
+        F.when(is_question, F.col("id")).when(is_answer, parent).alias("qid"),
         F.when(is_question, F.coalesce(term_position("tags", terms), F.lit(0))).alias("tag_pos"),
         F.when(is_answer, F.col("score")).alias("answer_score"),
     )
-    per_question = keyed.where(F.col("qid").isNotNull()).groupBy("qid").agg(
+    per_question = keyed.groupBy("qid").agg(
         F.min("tag_pos").alias("tag_pos"),
         F.max("answer_score").alias("best"),
     )
     # A question must exist with a known tag (null tags count as unknown, 0)
-    # and have at least one answer (best not null).
+    # and have at least one answer (best not null). The null-key group has no
+    # question, so it fails the first test; testing the key itself would be
+    # pushed through the aggregation into the parser.
     known = (F.col("tag_pos") > 0) & F.col("best").isNotNull()
     return per_question.where(known).select(
         ((F.col("tag_pos") - 1) * spread).cast("int").alias("x"),

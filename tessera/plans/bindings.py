@@ -7,6 +7,8 @@ live in :mod:`tessera.plans.oracle`.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +48,27 @@ SURVEY_MINUTE_COLUMNS: tuple[str, ...] = (
 )
 
 
+# Key used to spread a table's rows when it is stored as one small file.
+TABLE_KEYS = {"documents": "doc_id", "orders": "o_orderkey", "lineitem": "l_orderkey"}
+# Above this size a single file is assumed to hold enough row groups.
+SPREAD_MAX_BYTES = 1 << 30
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan ``{sf_dir}/{name}.parquet``.
+
+    Parquet splits by row group, and the supplied tables are single local
+    files of one row group each, so a scan of one of them is a single task.
+    Such a file is hash-partitioned on its key across the session's
+    parallelism before any per-row work. A folder of files, a remote path or
+    a file over ``SPREAD_MAX_BYTES`` is read as it is (no extra shuffle).
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    key = TABLE_KEYS.get(name)
+    if key and os.path.isfile(path) and os.path.getsize(path) <= SPREAD_MAX_BYTES:
+        df = df.repartition(spark.sparkContext.defaultParallelism, key)
+    return df
 
 
 def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,7 +78,13 @@ def materialize(df: DataFrame) -> DataFrame:
     block is then rebuilt from lineage, which is slower but still correct.
     """
     if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
+        # Writing a checkpoint recomputes its input unless that input is
+        # cached, so cache for the duration of the write only.
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return cached.checkpoint(eager=True)
+        finally:
+            cached.unpersist()
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
