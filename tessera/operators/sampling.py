@@ -64,26 +64,24 @@ def sample_global(vectors: DataFrame, kernels: int, seed: int = SAMPLE_SEED) ->
 
 
 def _numbered(picked: DataFrame, kernels: int, order: Sequence[str]) -> DataFrame:
-    """Number the (at most ``kernels``) picked rows and fail unless there are exactly ``kernels``.
+    """Number the picked rows by ``order``; fail unless there are exactly ``kernels``.
 
-    The window without partitioning sees at most ``kernels`` rows. The count
-    guard is a one-row global aggregate, so an empty sample fails too.
+    At most ``kernels + 1`` rows are taken (enough to tell "too many"), so
+    the one row that gathers them is bounded by the ``kernels`` parameter,
+    not by the data. An empty sample fails too. Everything stays in one
+    pipeline, so the upstream plan is computed once.
     """
-    numbered = picked.select(
-        (F.row_number().over(Window.orderBy(*order)) - 1).cast("int").alias("pos"),
-        F.col("x").cast("int").alias("x"),
-        F.col("y").cast("int").alias("y"),
+    rows = picked.select(F.struct(*[F.col(c) for c in order]).alias("_r")).limit(kernels + 1)
+    gathered = rows.agg(F.collect_list("_r").alias("_s"))
+    wrong_size = F.raise_error(
+        F.concat(F.lit(f"sample has the wrong size (wanted {kernels}): "), F.size("_s").cast("string"))
     )
-    guard = (
-        picked.agg(F.count(F.lit(1)).alias("_n"))
-        .where(
-            F.when(F.col("_n") == kernels, F.lit(False)).otherwise(
-                F.raise_error(F.concat(F.lit(f"sample has the wrong size (wanted {kernels}): "), F.col("_n").cast("string")))
-            )
-        )
-        .select(F.lit(None).cast("int").alias("pos"), F.lit(None).cast("int").alias("x"), F.lit(None).cast("int").alias("y"))
+    checked = gathered.select(F.when(F.size("_s") == kernels, F.array_sort("_s")).otherwise(wrong_size).alias("_s"))
+    return checked.select(F.posexplode("_s").alias("pos", "_r")).select(
+        F.col("pos").cast("int").alias("pos"),
+        F.col("_r.x").cast("int").alias("x"),
+        F.col("_r.y").cast("int").alias("y"),
     )
-    return numbered.unionByName(guard)
 
 
 def take_centres(sample: DataFrame) -> list[Point]:

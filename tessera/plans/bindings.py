@@ -54,19 +54,20 @@ TABLE_KEYS = {"documents": "doc_id", "orders": "o_orderkey", "lineitem": "l_orde
 SPREAD_MAX_BYTES = 1 << 30
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Scan ``{sf_dir}/{name}.parquet``.
 
     Parquet splits by row group, and the supplied tables are single local
     files of one row group each, so a scan of one of them is a single task.
     Such a file is hash-partitioned on its key across the session's
     parallelism before any per-row work. A folder of files, a remote path or
-    a file over ``SPREAD_MAX_BYTES`` is read as it is (no extra shuffle).
+    a file over ``SPREAD_MAX_BYTES`` is read as it is (no extra shuffle),
+    and so is any table with ``spread=False`` (inputs of plain aggregates).
     """
     path = f"{sf_dir}/{name}.parquet"
     df = spark.read.parquet(path)
     key = TABLE_KEYS.get(name)
-    if key and os.path.isfile(path) and os.path.getsize(path) <= SPREAD_MAX_BYTES:
+    if spread and key and os.path.isfile(path) and os.path.getsize(path) <= SPREAD_MAX_BYTES:
         df = df.repartition(spark.sparkContext.defaultParallelism, key)
     return df
 
@@ -156,5 +157,5 @@ def survey_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def integers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Integer column ``x`` = quantity - 25 (negative values included)."""
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = table(spark, sf_dir, "lineitem", spread=False)
     return lineitem.select((F.col("l_quantity").cast("int") - 25).alias("x"))
