@@ -6,7 +6,7 @@ Subpackages:
 * ``functions`` - column expressions (tokens, distances, survey bands, strict casts);
 * ``operators`` - DataFrame operators (rankings, postings, sampling, k-means, reports, survey, aggregates);
 * ``plans``     - bindings of the supplied tables, the query catalog and its SQL oracle;
-* ``streaming`` - the same operators over streaming sources.
+* ``streaming`` - empty: the original programs have no streaming part.
 """
 
 __version__ = "0.1.0"
