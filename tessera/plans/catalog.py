@@ -185,10 +185,9 @@ def kmeans_step(spark, sf_dir):
 @query("centers_distance")
 def centers_distance(spark, sf_dir):
     points = clustering_points(spark, sf_dir)
-    start = starting_sample(points)
-    centres = sampling.take_centres(start)
+    centres = sampling.take_centres(starting_sample(points))
     moved = km.centres_frame(spark, km.kmeans_step(points, centres))
-    return km.centers_distance(start, moved)
+    return km.centers_distance(km.centres_frame(spark, centres), moved)
 
 
 @query("kmeans")

@@ -8,17 +8,41 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+MB = 1 << 20
+
+
+def scale_settings(input_bytes: int, task_bytes: int = 256 * MB) -> dict[str, str]:
+    """Partition sizing for a job reading about ``input_bytes``.
+
+    Scans are cut into ``task_bytes`` splits. The initial shuffle width
+    lets the widest shuffle here (pairs of the join or index, at most
+    about the input size) land at ``task_bytes`` per reducer; AQE then
+    coalesces the many small post-aggregation partitions back toward the
+    same advisory size and splits skewed ones. For 100 TB this gives
+    400k-way scans and shuffles of about 400k partitions before coalescing.
+    """
+    partitions = max(200, -(-int(input_bytes) // task_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * task_bytes),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "tessera",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
     """Return a session with adaptive execution on and the UI off.
 
-    On a cluster pass ``master=None`` and let the launcher decide; the
-    shuffle partition count then stays whatever the cluster configured,
-    with AQE coalescing small partitions at run time.
+    On a cluster pass ``master=None`` and let the launcher decide, and pass
+    ``input_bytes`` to size partitions with :func:`scale_settings`.
+    ``shuffle_partitions`` and ``extra`` override those settings.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -30,6 +54,8 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
+    if input_bytes:
+        conf.update(scale_settings(input_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
