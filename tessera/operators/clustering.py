@@ -40,7 +40,8 @@ class EmptyClusterError(RuntimeError):
     """A centre attracted no point during a k-means step."""
 
 
-def _weight(points: DataFrame) -> Column:
+def weight_column(points: DataFrame) -> Column:
+    """Multiplicity of each row: ``n`` for weighted points, else 1."""
     return F.col("n") if "n" in points.columns else F.lit(1).cast("long")
 
 
@@ -90,7 +91,7 @@ def average_vectors(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     Sums are exact (38-digit decimals, weighted by ``n`` when present).
     """
-    w = _weight(points)
+    w = weight_column(points)
     sums = points.groupBy(*by).agg(
         F.sum(F.col("x").cast("decimal(38,0)") * w).alias("_sx"),
         F.sum(F.col("y").cast("decimal(38,0)") * w).alias("_sy"),

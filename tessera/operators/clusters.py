@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..constants import CLUSTER_REPORT_FORMAT
 from ..functions.geometry import Point
 from ..functions.text import check_vocabulary, vocabulary_array
-from .clustering import _weight, assign, int_div
+from .clustering import weight_column, assign, int_div
 
 
 def cluster_results(
@@ -36,7 +36,7 @@ def cluster_results(
     sorted by median score, then term and size.
     """
     terms = check_vocabulary(langs)
-    weighted = points.select("x", "y", _weight(points).alias("n"))
+    weighted = points.select("x", "y", weight_column(points).alias("n"))
     assigned = assign(weighted, centres)
     per_point = assigned.groupBy("cx", "cy", "x", "y").agg(F.sum("n").alias("n"))
     per_term = per_point.groupBy("cx", "cy", "x").agg(F.sum("n").alias("cnt"))

@@ -8,7 +8,7 @@ fixed-width values only, so its aggregation is hash-based.
 
 Filters on parsed fields are avoided before these aggregations: Catalyst
 pushes such filters below the parsing projection, where they re-run the
-parse for every reference.
+parse once per use of a parsed field.
 """
 
 from __future__ import annotations

@@ -76,7 +76,7 @@ def test_duplicate_vocabulary_rejected(c1):
         rank_langs(c1, ["alpha", "alpha"])
 
 
-# The reference suite's five cases, on the same tiny inputs.
+# Five small cases: single article, top term, index keys, top term via index and via reduce.
 
 
 def test_suite_one_article_counts_once(spark):
