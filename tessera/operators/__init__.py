@@ -18,6 +18,7 @@ from .postings import (
     answers,
     grouped_postings,
     question_answer_join,
+    question_vectors,
     questions,
     scored_postings,
     vector_postings,
@@ -69,6 +70,7 @@ __all__ = [
     "occurrences_of_lang",
     "point_distance",
     "question_answer_join",
+    "question_vectors",
     "questions",
     "rank_langs",
     "rank_langs_reduce",
