@@ -1,6 +1,8 @@
-"""Streaming sources for the same operators.
+"""Streaming.
 
-The original programs have no streaming part; nothing here adds a new
-operator. The operators are plain DataFrame transformations, so the ones
-without a driver loop run unchanged on a streaming DataFrame.
+The original programs have no streaming part, so there is no streaming
+operator here. The parsers and single-pass operators are plain DataFrame
+transformations and run unchanged on a streaming DataFrame, e.g.
+``rank_langs_reduce(parse_articles(spark.readStream.text(folder)), langs)``
+in complete output mode (see ``tests/test_streaming.py``).
 """
