@@ -33,7 +33,7 @@ from .ranking import (
     rank_langs_reduce,
     rank_langs_using_index,
 )
-from .sampling import distinct_vectors, sample_global, sample_per_language, take_centres
+from .sampling import distinct_vectors, sample_global, sample_per_language, sample_vectors, take_centres
 from .survey import (
     classified_columns,
     classify_columns,
@@ -77,6 +77,7 @@ __all__ = [
     "rank_langs_using_index",
     "sample_global",
     "sample_per_language",
+    "sample_vectors",
     "scored_postings",
     "take_centres",
     "time_usage_grouped",

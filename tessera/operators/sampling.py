@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import MAX_CENTRES, SAMPLE_SEED
+from ..constants import MAX_CENTRES, SAMPLE_SEED, SMALL_SPREAD_THRESHOLD
 from ..functions.geometry import Point
 from ..functions.text import check_vocabulary
 
@@ -63,6 +63,17 @@ def sample_global(vectors: DataFrame, kernels: int, seed: int = SAMPLE_SEED) ->
     return _numbered(picked, kernels, ("_h", "x", "y"))
 
 
+def sample_vectors(
+    vectors: DataFrame, langs: Sequence[str], kernels: int, spread: int, seed: int = SAMPLE_SEED
+) -> DataFrame:
+    """Starting centres: the whole-space sample when ``spread`` is below the
+    small-spread threshold (terms are then too close to sample separately),
+    else the per-term sample."""
+    if spread < SMALL_SPREAD_THRESHOLD:
+        return sample_global(vectors, kernels, seed)
+    return sample_per_language(vectors, langs, kernels, seed)
+
+
 def _numbered(picked: DataFrame, kernels: int, order: Sequence[str]) -> DataFrame:
     """Number the picked rows by ``order``; fail unless there are exactly ``kernels``.
 

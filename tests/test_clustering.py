@@ -15,7 +15,13 @@ from tessera.operators.clustering import (
     point_distance,
 )
 from tessera.operators.postings import weighted_vectors
-from tessera.operators.sampling import distinct_vectors, sample_global, sample_per_language, take_centres
+from tessera.operators.sampling import (
+    distinct_vectors,
+    sample_global,
+    sample_per_language,
+    sample_vectors,
+    take_centres,
+)
 
 
 def pts(spark, points):
@@ -109,3 +115,11 @@ def test_sample_global(spark):
     rows = sample_global(data, 7).collect()
     assert len(rows) == 7 and len({(r.x, r.y) for r in rows}) == 7
     assert distinct_vectors(data).count() == 25
+
+
+def test_sample_branch_follows_spread(spark):
+    data = pts(spark, [(x, y) for x in (0, 100, 200) for y in range(10)])
+    small = sample_vectors(data, ["a", "b", "c"], 6, spread=100).collect()
+    assert small == sample_global(data, 6).collect()
+    large = sample_vectors(data, ["a", "b", "c"], 6, spread=500).collect()
+    assert large == sample_per_language(data, ["a", "b", "c"], 6).collect()
