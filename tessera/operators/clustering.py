@@ -32,7 +32,7 @@ from ..functions.geometry import (
     squared_distance,
 )
 from ..schemas import CENTRE, KMEANS_TRACE
-from ..session import materialize, release
+from ..session import literal_frame, materialize, release
 from .postings import weighted_vectors
 
 
@@ -148,12 +148,12 @@ class KMeansResult:
 
     def trace_frame(self, spark: SparkSession) -> DataFrame:
         """One row per step and centre: old and new value, its move and the step's total move."""
-        return spark.createDataFrame(self.trace, KMEANS_TRACE)
+        return literal_frame(spark, self.trace, KMEANS_TRACE)
 
 
 def centres_frame(spark: SparkSession, centres: Sequence[Point]) -> DataFrame:
     centres = check_centres(centres)
-    return spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(centres)], CENTRE)
+    return literal_frame(spark, [(i, x, y) for i, (x, y) in enumerate(centres)], CENTRE)
 
 
 def kmeans(

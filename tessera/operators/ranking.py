@@ -18,11 +18,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..constants import INLINE_VOCABULARY_LIMIT, VOCABULARY_BROADCAST_BYTES
 from ..functions.text import check_vocabulary, mentioned_terms, mentions, term_position, tokens
+from ..session import literal_frame
+
+
+TERM = StructType([StructField("lang", StringType())])
+TERM_POSITION = StructType([StructField("lang", StringType()), StructField("pos", LongType())])
+
+
+def vocabulary_table(spark: SparkSession, terms: Sequence[str], positions: bool = False) -> DataFrame:
+    """``(lang)`` or ``(lang, pos)`` with 1-based positions: a plan literal up to
+    ``INLINE_VOCABULARY_LIMIT`` terms, a parallelized table beyond."""
+    schema = TERM_POSITION if positions else TERM
+    rows = [(t, i) for i, t in enumerate(terms, 1)] if positions else [(t,) for t in terms]
+    if len(terms) <= INLINE_VOCABULARY_LIMIT:
+        return literal_frame(spark, rows, schema)
+    return spark.createDataFrame(rows, schema)
 
 
 def mentions_filter(articles: DataFrame, lang: str) -> DataFrame:
@@ -50,7 +66,7 @@ def language_article_pairs(articles: DataFrame, langs: Sequence[str], keep: Sequ
     if len(terms) <= INLINE_VOCABULARY_LIMIT:
         return articles.select(F.explode(mentioned_terms("text", terms)).alias("lang"), *keep)
     spark = articles.sparkSession
-    vocab = spark.createDataFrame([(t,) for t in terms], "lang string")
+    vocab = vocabulary_table(spark, terms)
     if sum(len(t.encode("utf-8")) + 32 for t in terms) <= VOCABULARY_BROADCAST_BYTES:
         vocab = F.broadcast(vocab)
     distinct_tokens = articles.select(F.explode(F.array_distinct(tokens("text"))).alias("lang"), *keep)
@@ -74,7 +90,7 @@ def rank_langs(articles: DataFrame, langs: Sequence[str]) -> DataFrame:
     spark = articles.sparkSession
     hits = language_article_pairs(articles, terms, keep=()).select("lang", F.lit(1).alias("w"))
     # Zero rows for every term let one aggregation produce the zero counts.
-    zeros = spark.createDataFrame([(t,) for t in terms], "lang string").select("lang", F.lit(0).alias("w"))
+    zeros = vocabulary_table(spark, terms).select("lang", F.lit(0).alias("w"))
     counts = hits.unionByName(zeros).groupBy("lang").agg(F.sum("w").cast("long").alias("n"))
     return order_ranking(counts, terms)
 
@@ -105,6 +121,6 @@ def order_ranking(counts: DataFrame, langs: Sequence[str] | None) -> DataFrame:
         position: Column = term_position("lang", terms)
         return counts.orderBy(F.desc("n"), F.desc(position)).select("lang", "n")
     spark = counts.sparkSession
-    positions = spark.createDataFrame([(t, i) for i, t in enumerate(terms, 1)], "lang string, pos long")
+    positions = vocabulary_table(spark, terms, positions=True)
     ranked = counts.join(positions, "lang", "left")
     return ranked.orderBy(F.desc("n"), F.desc("pos")).select("lang", "n")

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import aggregates, clusters, postings, ranking, sampling, survey
 from ..operators import clustering as km
-from ..schemas import CENTRE
-from ..session import materialize
+from ..schemas import CENTRE_MOVE
+from ..session import literal_frame, materialize
 from ..sources.survey import survey_typed
 from . import bindings as B
 
@@ -179,7 +179,7 @@ def kmeans_step(spark, sf_dir):
     centres = sampling.take_centres(starting_sample(points))
     new = km.kmeans_step(points, centres)
     rows = [(i, o[0], o[1], n[0], n[1]) for i, (o, n) in enumerate(zip(centres, new))]
-    return spark.createDataFrame(rows, "pos int, old_x int, old_y int, new_x int, new_y int")
+    return literal_frame(spark, rows, CENTRE_MOVE)
 
 
 @query("centers_distance")
@@ -194,9 +194,7 @@ def centers_distance(spark, sf_dir):
 def kmeans_centres(spark, sf_dir):
     points = clustering_points(spark, sf_dir)
     centres = sampling.take_centres(starting_sample(points))
-    return spark.createDataFrame(
-        [(i, x, y) for i, (x, y) in enumerate(run_kmeans(points, centres).centres)], CENTRE
-    )
+    return run_kmeans(points, centres).centres_frame(spark)
 
 
 @query("kmeans_trace")

@@ -50,6 +50,14 @@ CENTRE = StructType([
     StructField("y", IntegerType()),
 ])
 
+CENTRE_MOVE = StructType([
+    StructField("pos", IntegerType()),
+    StructField("old_x", IntegerType()),
+    StructField("old_y", IntegerType()),
+    StructField("new_x", IntegerType()),
+    StructField("new_y", IntegerType()),
+])
+
 CLUSTER_RESULT = StructType([
     StructField("lang", StringType()),
     StructField("lang_percent", DoubleType()),

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import os
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 MB = 1 << 20
@@ -118,3 +122,19 @@ def release(df: DataFrame) -> None:
     """Drop a cached result produced by :func:`materialize` (checkpoint files stay)."""
     if df.storageLevel != StorageLevel.NONE:
         df.unpersist()
+
+
+def literal_frame(spark: SparkSession, rows: Sequence[Sequence], schema: StructType) -> DataFrame:
+    """A small driver-side table as a plan literal (one-row range + ``inline``).
+
+    For parameter-sized tables only (vocabularies, k centres, a k-means
+    trace): the rows travel inside the plan, no RDD is parallelized and no
+    Python worker is involved. An empty list gives an empty table.
+    """
+    fields = schema.fields
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows
+    ]
+    if not structs:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    return spark.range(1).select(F.inline(F.array(*structs)))
