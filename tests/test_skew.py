@@ -1,0 +1,28 @@
+"""A hot key holding most rows: results stay whole and exact."""
+
+from __future__ import annotations
+
+from tessera.operators import question_vectors, rank_langs, sample_per_language, scored_postings
+from tessera.operators.postings import weighted_vectors
+from tessera.sources import parse_postings
+
+
+def test_hot_question(spark):
+    lines = ["1,1,,,0,java", "1,2,,,0,sql"]
+    lines += [f"2,{100 + i},,1,{i % 97 - 40}" for i in range(3000)]  # question 1 holds almost every answer
+    lines += ["2,9000,,2,5"]
+    p = parse_postings(spark.createDataFrame([(l,) for l in lines], "value string").repartition(7))
+    scores = {r.id: r.high_score for r in scored_postings(p).collect()}
+    assert scores == {1: 56, 2: 5}
+    assert sorted(tuple(r) for r in question_vectors(p, ["java", "sql"], 10).collect()) == [(0, 56), (10, 5)]
+
+
+def test_hot_term_and_hot_point(spark):
+    texts = [("t%d" % i, "the common word" + (" rare" if i % 500 == 0 else "")) for i in range(5000)]
+    df = spark.createDataFrame(texts, "title string, text string").repartition(7)
+    assert [(r.lang, r.n) for r in rank_langs(df, ["the", "rare", "none"]).collect()] == [("the", 5000), ("rare", 10), ("none", 0)]
+    points = spark.createDataFrame([(0, 1)] * 4000 + [(0, y) for y in range(2, 6)] + [(10, y) for y in range(5)], "x int, y int")
+    w = weighted_vectors(points.repartition(7))
+    assert dict(((r.x, r.y), r.n) for r in w.collect())[(0, 1)] == 4000
+    sample = sample_per_language(points.repartition(7), ["a", "b"], 4).collect()
+    assert len(sample) == 4 and len({(r.x, r.y) for r in sample}) == 4
