@@ -26,3 +26,15 @@ def test_materialize_writes_a_checkpoint(spark):
     local = folder.removeprefix("file:")
     assert any(files for _, _, files in os.walk(local))
     release(done)
+
+
+def test_materialize_without_checkpoint_folder_persists(spark, monkeypatch):
+    import tessera.session as session
+
+    monkeypatch.setattr(session, "checkpoint_dir", lambda _spark: None)
+    df = spark.range(100).selectExpr("id % 3 AS k").groupBy("k").count()
+    done = session.materialize(df)
+    assert done.storageLevel.useDisk and done.storageLevel.useMemory
+    assert sorted(r["count"] for r in done.collect()) == [33, 33, 34]
+    session.release(done)
+    assert not done.storageLevel.useMemory
