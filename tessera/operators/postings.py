@@ -55,10 +55,14 @@ def question_answer_join(postings: DataFrame, strict: bool = False) -> DataFrame
     Columns are the posting fields prefixed ``q_`` and ``a_``. Unanswered
     questions and orphan answers vanish; an answer without a parent id is
     dropped, or fails the job with ``strict=True``.
+
+    Both sides grow with the data, so the join is pinned to sort-merge
+    rather than left to a size estimate; AQE then splits the partition of a
+    question that holds a large share of all answers.
     """
     q = _prefixed(questions(postings), "q_")
     a = _prefixed(_answers_checked(postings, strict), "a_")
-    return q.join(a, q.q_id == a.a_parent_id, "inner")
+    return q.join(a.hint("merge"), q.q_id == a.a_parent_id, "inner")
 
 
 def grouped_postings(postings: DataFrame, strict: bool = False) -> DataFrame:

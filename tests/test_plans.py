@@ -75,3 +75,8 @@ def test_kmeans_assignment_is_narrow(spark):
     assert "Join" not in p and "BroadcastExchange" not in p
     tree = p.split("\n\n")[0]
     assert tree.count("Exchange") == 1  # the one aggregation shuffle
+
+
+def test_pair_join_is_sort_merge(postings):
+    p = plan(qa.question_answer_join(postings))
+    assert "SortMergeJoin" in p and "BroadcastExchange" not in p
