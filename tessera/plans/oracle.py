@@ -253,7 +253,13 @@ def _build() -> dict[str, str]:
     grouped = (
         "SELECT working, sex, age, ROUND(AVG(primaryNeeds), 1) AS primaryNeeds,"
         " ROUND(AVG(work), 1) AS work, ROUND(AVG(other), 1) AS other"
-        " FROM summary GROUP BY working, sex, age ORDER BY working, sex, age"
+        " FROM {src} GROUP BY working, sex, age ORDER BY working, sex, age"
+    )
+    C.add(
+        "summary_typed",
+        "SELECT working, sex, age, COALESCE(primaryNeeds, 0.0) AS primaryNeeds,"
+        " COALESCE(work, 0.0) AS work, COALESCE(other, 0.0) AS other FROM summary",
+        "summary",
     )
     classified = [
         ("primary", "t010101"), ("primary", "t180301"), ("work", "t050101"),
@@ -342,10 +348,10 @@ def _build() -> dict[str, str]:
         "survey_typed": C.sql(f"SELECT tucaseid, {typed_cols} FROM survey", "survey"),
         "classify_columns": C.sql(classify_sql, "survey"),
         "time_usage_summary": C.sql("SELECT * FROM summary", "summary"),
-        "time_usage_summary_typed": C.sql("SELECT * FROM summary", "summary"),
-        "time_usage_grouped": C.sql(grouped, "summary"),
-        "time_usage_grouped_sql": C.sql(grouped, "summary"),
-        "time_usage_grouped_typed": C.sql(grouped, "summary"),
+        "time_usage_summary_typed": C.sql("SELECT * FROM summary_typed", "summary_typed"),
+        "time_usage_grouped": C.sql(grouped.format(src="summary"), "summary"),
+        "time_usage_grouped_sql": C.sql(grouped.format(src="summary"), "summary"),
+        "time_usage_grouped_typed": C.sql(grouped.format(src="summary_typed"), "summary_typed"),
         "list_sum": C.sql("SELECT CAST(COALESCE(SUM(x), 0) AS BIGINT) AS list_sum FROM ints", "ints"),
         "list_max": C.sql("SELECT GREATEST(COALESCE(MAX(x), 0), 0) AS list_max FROM ints", "ints"),
     }
