@@ -7,7 +7,10 @@ import pytest
 from tessera.operators.aggregates import list_max, list_sum
 
 
-@pytest.mark.parametrize("values, total, largest", [([4, 9, 1], 14, 9), ([-3, -8], -11, 0), ([], 0, 0)])
+@pytest.mark.parametrize(
+    "values, total, largest",
+    [([4, 9, 1], 14, 9), ([-3, -8], -11, 0), ([], 0, 0), ([1, 2, 0], 3, 2), ([3, 7, 2], 12, 7), ([5, 5, 5], 15, 5)],
+)
 def test_sum_and_max(spark, values, total, largest):
     df = spark.createDataFrame([(v,) for v in values], "x int")
     assert list_sum(df).first().list_sum == total
