@@ -15,23 +15,31 @@ from pyspark.sql.types import StructType
 MB = 1 << 20
 
 
-def scale_settings(input_bytes: int, task_bytes: int = 256 * MB) -> dict[str, str]:
+def scale_settings(
+    input_bytes: int,
+    split_bytes: int = 512 * MB,
+    reducer_bytes: int = 2048 * MB,
+    max_shuffle_partitions: int = 50_000,
+) -> dict[str, str]:
     """Partition sizing for a job reading about ``input_bytes``.
 
-    Scans are cut into ``task_bytes`` splits. The initial shuffle width
-    lets the widest shuffle here (pairs of the join or index, at most
-    about the input size) land at ``task_bytes`` per reducer; AQE then
-    coalesces the many small post-aggregation partitions back toward the
-    same advisory size and splits skewed ones. For 100 TB this gives
-    400k-way scans and shuffles of about 400k partitions before coalescing.
+    * Scans are cut into ``split_bytes`` splits (about 200k tasks for 100 TB).
+    * The initial shuffle width gives the widest shuffle here, the pair join,
+      about ``reducer_bytes`` per reducer, capped at
+      ``max_shuffle_partitions``: a wider shuffle multiplies the number of
+      map-output blocks (map tasks x reducers) for little gain, and
+      sort-merge joins spill rather than fail on large partitions.
+    * Aggregation shuffles are small after map-side combine; AQE coalesces
+      their partitions toward 256 MB and splits skewed join partitions above
+      1 GB.
     """
-    partitions = max(200, -(-int(input_bytes) // task_bytes))
+    partitions = min(max_shuffle_partitions, max(200, -(-int(input_bytes) // reducer_bytes)))
     return {
-        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * task_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * MB),
     }
 
 

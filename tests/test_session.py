@@ -10,9 +10,11 @@ from tessera.session import checkpoint_dir, materialize, release, scale_settings
 def test_scale_settings():
     small = scale_settings(10 << 20)
     assert small["spark.sql.shuffle.partitions"] == "200"
+    ten_tb = scale_settings(10 << 40)
+    assert int(ten_tb["spark.sql.shuffle.partitions"]) == (10 << 40) // (2048 << 20)
     big = scale_settings(100 << 40)
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
-    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert big["spark.sql.shuffle.partitions"] == "50000"
+    assert big["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
 
 
 def test_materialize_writes_a_checkpoint(spark):
