@@ -16,9 +16,16 @@ from ..functions.casts import required_cast, strict_cast
 def parse_postings(lines: DataFrame, column: str = "value") -> DataFrame:
     """Parse comma-separated posting lines; a narrow projection (no shuffle).
 
-    Each line is split once into an array column that every field reads.
+    Each line is split once into an array column that the other fields read.
+    The posting type is read as the text before the first comma, without the
+    split: filters on the type (questions, answers, the join sides) are
+    pushed below this projection onto the raw line, and there they then cost
+    no array allocation.
     """
-    split = lines.select(F.split(F.col(column), ",", -1).alias("_fields"))
+    split = lines.select(
+        F.substring_index(F.col(column), ",", 1).alias("_type"),
+        F.split(F.col(column), ",", -1).alias("_fields"),
+    )
 
     def field(i: int):
         return F.get(F.col("_fields"), i)  # null past the end, never an error
@@ -27,7 +34,7 @@ def parse_postings(lines: DataFrame, column: str = "value") -> DataFrame:
         return F.nullif(field(i), F.lit(""))
 
     return split.select(
-        required_cast(field(0), "int", "posting type").alias("posting_type"),
+        required_cast(F.col("_type"), "int", "posting type").alias("posting_type"),
         required_cast(field(1), "int", "posting id").alias("id"),
         strict_cast(optional(2), "int", "accepted answer id").alias("accepted_answer"),
         strict_cast(optional(3), "int", "parent id").alias("parent_id"),

@@ -49,9 +49,17 @@ def test_scoring_is_one_aggregation_without_join(postings):
     assert not parse_filters(p)
 
 
-def test_filter_on_parsed_field_would_rerun_the_parser(postings):
+def test_type_filter_reads_only_the_first_field(postings):
+    p = plan(qa.questions(postings))
+    assert not parse_filters(p)
+    assert "substring_index" in p
+
+
+def test_filter_on_another_parsed_field_would_rerun_the_split(postings):
     # Why the aggregations above avoid row filters: this one lands on the parser.
-    assert parse_filters(plan(qa.questions(postings)))
+    from pyspark.sql import functions as F
+
+    assert parse_filters(plan(postings.where(F.col("parent_id").isNotNull())))
 
 
 def test_ranking_is_one_partial_aggregation_without_join(spark):
