@@ -40,3 +40,15 @@ def test_materialize_without_checkpoint_folder_persists(spark, monkeypatch):
     assert sorted(r["count"] for r in done.collect()) == [33, 33, 34]
     session.release(done)
     assert not done.storageLevel.useMemory
+
+
+def test_literal_frame(spark):
+    from tessera.schemas import CENTRE
+    from tessera.session import literal_frame
+
+    df = literal_frame(spark, [(0, 1, 2), (1, -3, None)], CENTRE)
+    assert df.dtypes == [("pos", "int"), ("x", "int"), ("y", "int")]
+    assert [tuple(r) for r in df.collect()] == [(0, 1, 2), (1, -3, None)]
+    empty = literal_frame(spark, [], CENTRE)
+    assert empty.dtypes == df.dtypes and empty.count() == 0
+    assert "Scan ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
