@@ -148,3 +148,8 @@ def test_ranking_independent_of_partitioning(spark):
     one = ranked(rank_langs(articles.repartition(1), B.ARTICLE_TERMS))
     seven = ranked(rank_langs(articles.repartition(7), B.ARTICLE_TERMS))
     assert one == seven
+
+
+def test_index_ranking_without_vocabulary_breaks_ties_by_term(c1):
+    ranked = [(r.lang, r.n) for r in rank_langs_using_index(make_index(c1, VOCAB)).collect()]
+    assert ranked == [("gamma", 2), ("beta", 2), ("alpha", 2)]

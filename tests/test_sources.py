@@ -120,3 +120,10 @@ def test_survey_typed(spark):
     bad = spark.createDataFrame([("a", "one")], "id string, x string")
     with pytest.raises(Exception, match="malformed number"):
         survey_typed(bad).collect()
+
+
+def test_parse_articles_with_other_offsets(spark):
+    # Lines without the padding: 13-character prefix, 14-character tail.
+    line = "<page><title>Scala</title><text>Scala is a language</text></page>"
+    (row,) = parse_articles(lines_df(spark, [line]), title_offset=13, tail=14).collect()
+    assert tuple(row) == ("Scala", "Scala is a language")
