@@ -30,6 +30,7 @@ from ..functions.geometry import (
     nearest_centre,
     point_distance_py,
     squared_distance,
+    squared_distance_sql,
 )
 from ..schemas import CENTRE, KMEANS_TRACE
 from ..session import literal_frame, materialize, release
@@ -71,19 +72,12 @@ def point_distance(points: DataFrame, centres: Sequence[Point]) -> DataFrame:
 
     Generated per point from the inlined centre list (no join).
     """
-    centres = check_centres(centres)
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(pos).alias("pos"),
-                F.lit(cx).alias("cx"),
-                F.lit(cy).alias("cy"),
-                squared_distance(F.col("x"), F.col("y"), F.lit(cx), F.lit(cy)).alias("distance"),
-            )
-            for pos, (cx, cy) in enumerate(centres)
-        ]
-    )
-    return points.select("x", "y", F.inline(pairs))
+    structs = [
+        f"named_struct('pos', {pos}, 'cx', CAST({cx} AS INT), 'cy', CAST({cy} AS INT),"
+        f" 'distance', {squared_distance_sql('x', 'y', cx, cy)})"
+        for pos, (cx, cy) in enumerate(check_centres(centres))
+    ]
+    return points.select("x", "y", F.inline(F.expr("array(" + ", ".join(structs) + ")")))
 
 
 def average_vectors(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -123,3 +123,10 @@ def test_sample_branch_follows_spread(spark):
     assert small == sample_global(data, 6).collect()
     large = sample_vectors(data, ["a", "b", "c"], 6, spread=500).collect()
     assert large == sample_per_language(data, ["a", "b", "c"], 6).collect()
+
+
+def test_extreme_integer_centres(spark):
+    p = pts(spark, [(-(2**31), 0), (2**31 - 1, 0)])
+    rows = nearest_center(p, [(-(2**31), 0), (2**31 - 1, 0)]).collect()
+    assert [(r.cx, r.cy) for r in rows] == [(-(2**31), 0), (2**31 - 1, 0)]
+    assert nearest_center(p, [(-(2**31), 0)]).schema["cx"].dataType.simpleString() == "int"
