@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .literals import string_array
+
 
 def tokens(text: Column | str) -> Column:
     """Split on a single ASCII space only (tabs and newlines stay inside tokens).
@@ -24,7 +26,7 @@ def mentions(text: Column | str, term: str) -> Column:
 
 def vocabulary_array(terms: Sequence[str]) -> Column:
     """The vocabulary as a literal ``array<string>`` (position = index + 1)."""
-    return F.array(*[F.lit(t) for t in terms]).cast("array<string>")
+    return string_array(list(terms))
 
 
 def mentioned_terms(text: Column | str, terms: Sequence[str]) -> Column:

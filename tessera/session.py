@@ -136,13 +136,12 @@ def literal_frame(spark: SparkSession, rows: Sequence[Sequence], schema: StructT
     """A small driver-side table as a plan literal (one-row range + ``inline``).
 
     For parameter-sized tables only (vocabularies, k centres, a k-means
-    trace): the rows travel inside the plan, no RDD is parallelized and no
-    Python worker is involved. An empty list gives an empty table.
+    trace): the rows travel inside the plan as one SQL expression, no RDD is
+    parallelized and no Python worker is involved. An empty list gives an
+    empty table.
     """
-    fields = schema.fields
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows
-    ]
-    if not structs:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    from .functions.literals import struct_array
+
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return spark.range(1).select(F.inline(struct_array(rows, schema)))
