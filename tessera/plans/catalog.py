@@ -35,43 +35,43 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 @query("parse_articles")
-def parse_articles(spark, sf_dir):
+def parse_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.articles(spark, sf_dir)
 
 
 @query("mentions_filter")
-def mentions_filter(spark, sf_dir):
+def mentions_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.mentions_filter(B.articles(spark, sf_dir), B.SINGLE_TERM)
 
 
 @query("occurrences_of_lang")
-def occurrences_of_lang(spark, sf_dir):
+def occurrences_of_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.occurrences_of_lang(B.articles(spark, sf_dir), B.SINGLE_TERM)
 
 
 @query("language_article_pairs")
-def language_article_pairs(spark, sf_dir):
+def language_article_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.language_article_pairs(B.articles(spark, sf_dir), B.ARTICLE_TERMS)
 
 
 @query("rank_langs")
-def rank_langs(spark, sf_dir):
+def rank_langs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rank_langs(B.articles(spark, sf_dir), B.ARTICLE_TERMS)
 
 
 @query("make_index")
-def make_index(spark, sf_dir):
+def make_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.make_index(B.articles(spark, sf_dir), B.ARTICLE_TERMS)
 
 
 @query("rank_langs_using_index")
-def rank_langs_using_index(spark, sf_dir):
+def rank_langs_using_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = ranking.make_index(B.articles(spark, sf_dir), B.ARTICLE_TERMS)
     return ranking.rank_langs_using_index(index, B.ARTICLE_TERMS)
 
 
 @query("rank_langs_reduce")
-def rank_langs_reduce(spark, sf_dir):
+def rank_langs_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rank_langs_reduce(B.articles(spark, sf_dir), B.ARTICLE_TERMS)
 
 
@@ -79,37 +79,37 @@ def rank_langs_reduce(spark, sf_dir):
 
 
 @query("parse_postings")
-def parse_postings(spark, sf_dir):
+def parse_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.postings(spark, sf_dir)
 
 
 @query("questions")
-def questions(spark, sf_dir):
+def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.questions(B.postings(spark, sf_dir))
 
 
 @query("answers")
-def answers(spark, sf_dir):
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.answers(B.postings(spark, sf_dir))
 
 
 @query("question_answer_join")
-def question_answer_join(spark, sf_dir):
+def question_answer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.question_answer_join(B.postings(spark, sf_dir))
 
 
 @query("grouped_postings")
-def grouped_postings(spark, sf_dir):
+def grouped_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.grouped_postings(B.postings(spark, sf_dir))
 
 
 @query("scored_postings")
-def scored_postings(spark, sf_dir):
+def scored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.scored_postings(B.postings(spark, sf_dir))
 
 
 @query("vector_postings")
-def vector_postings(spark, sf_dir):
+def vector_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.vectors(spark, sf_dir)
 
 
@@ -136,37 +136,37 @@ def run_kmeans(points: DataFrame, centres) -> km.KMeansResult:
 
 
 @query("distinct_vectors")
-def distinct_vectors(spark, sf_dir):
+def distinct_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.distinct_vectors(B.vectors(spark, sf_dir))
 
 
 @query("sample_per_language")
-def sample_per_language(spark, sf_dir):
+def sample_per_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return starting_sample(B.vectors(spark, sf_dir))
 
 
 @query("sample_global")
-def sample_global(spark, sf_dir):
+def sample_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = B.vectors(spark, sf_dir, B.SMALL_SPREAD)
     return sampling.sample_global(vectors, B.CLUSTER_KERNELS, B.CLUSTER_SEED)
 
 
 @query("point_distance")
-def point_distance(spark, sf_dir):
+def point_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = clustering_points(spark, sf_dir)
     centres = sampling.take_centres(starting_sample(points))
     return km.point_distance(sampling.distinct_vectors(points), centres)
 
 
 @query("nearest_center")
-def nearest_center(spark, sf_dir):
+def nearest_center(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = clustering_points(spark, sf_dir)
     centres = sampling.take_centres(starting_sample(points))
     return km.nearest_center(sampling.distinct_vectors(points), centres)
 
 
 @query("average_vectors")
-def average_vectors(spark, sf_dir):
+def average_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = clustering_points(spark, sf_dir)
     centres = sampling.take_centres(starting_sample(points))
     assigned = km.assign(points, centres)
@@ -174,7 +174,7 @@ def average_vectors(spark, sf_dir):
 
 
 @query("kmeans_step")
-def kmeans_step(spark, sf_dir):
+def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = clustering_points(spark, sf_dir)
     centres = sampling.take_centres(starting_sample(points))
     new = km.kmeans_step(points, centres)
@@ -183,7 +183,7 @@ def kmeans_step(spark, sf_dir):
 
 
 @query("centers_distance")
-def centers_distance(spark, sf_dir):
+def centers_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = clustering_points(spark, sf_dir)
     centres = sampling.take_centres(starting_sample(points))
     moved = km.centres_frame(spark, km.kmeans_step(points, centres))
@@ -191,14 +191,14 @@ def centers_distance(spark, sf_dir):
 
 
 @query("kmeans")
-def kmeans_centres(spark, sf_dir):
+def kmeans_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = clustering_points(spark, sf_dir)
     centres = sampling.take_centres(starting_sample(points))
     return run_kmeans(points, centres).centres_frame(spark)
 
 
 @query("kmeans_trace")
-def kmeans_trace(spark, sf_dir):
+def kmeans_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = clustering_points(spark, sf_dir)
     centres = sampling.take_centres(starting_sample(points))
     return run_kmeans(points, centres).trace_frame(spark)
@@ -212,12 +212,12 @@ def final_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("cluster_results")
-def cluster_results(spark, sf_dir):
+def cluster_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return final_clusters(spark, sf_dir)
 
 
 @query("cluster_report")
-def cluster_report(spark, sf_dir):
+def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.cluster_report(final_clusters(spark, sf_dir))
 
 
@@ -231,37 +231,37 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("survey_typed")
-def survey_typed_query(spark, sf_dir):
+def survey_typed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survey_typed(B.survey_strings(spark, sf_dir))
 
 
 @query("classify_columns")
-def classify_columns(spark, sf_dir):
+def classify_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survey.classify_columns(B.survey(spark, sf_dir))
 
 
 @query("time_usage_summary")
-def time_usage_summary(spark, sf_dir):
+def time_usage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(spark, sf_dir)
 
 
 @query("time_usage_summary_typed")
-def time_usage_summary_typed(spark, sf_dir):
+def time_usage_summary_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survey.time_usage_summary_typed(summary(spark, sf_dir))
 
 
 @query("time_usage_grouped")
-def time_usage_grouped(spark, sf_dir):
+def time_usage_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survey.time_usage_grouped(summary(spark, sf_dir))
 
 
 @query("time_usage_grouped_sql")
-def time_usage_grouped_sql(spark, sf_dir):
+def time_usage_grouped_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survey.time_usage_grouped_sql(summary(spark, sf_dir))
 
 
 @query("time_usage_grouped_typed")
-def time_usage_grouped_typed(spark, sf_dir):
+def time_usage_grouped_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survey.time_usage_grouped_typed(survey.time_usage_summary_typed(summary(spark, sf_dir)))
 
 
@@ -269,10 +269,10 @@ def time_usage_grouped_typed(spark, sf_dir):
 
 
 @query("list_sum")
-def list_sum(spark, sf_dir):
+def list_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.list_sum(B.integers(spark, sf_dir))
 
 
 @query("list_max")
-def list_max(spark, sf_dir):
+def list_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.list_max(B.integers(spark, sf_dir))
