@@ -4,8 +4,10 @@
     python -m tessera cluster   POSTING_FILE [--debug]
     python -m tessera timeusage SURVEY_CSV
 
-The session comes from ``build_session()``; submit with ``spark-submit`` to
-run on a cluster.
+Options go before the command: ``--input-bytes N`` sizes scan splits and
+shuffle partitions for an input of about N bytes (see
+``session.scale_settings``). The session comes from ``build_session()``;
+submit with ``spark-submit`` to run on a cluster.
 """
 
 from __future__ import annotations
@@ -24,9 +26,12 @@ def main(argv: list[str] | None = None) -> None:
     cluster.add_argument("path")
     cluster.add_argument("--debug", action="store_true", help="print every k-means step")
     sub.add_parser("timeusage", help="average hours per working status, sex and age").add_argument("path")
+    parser.add_argument(
+        "--input-bytes", type=int, default=None, help="approximate input size; sizes scan splits and shuffles"
+    )
     args = parser.parse_args(argv)
 
-    spark = build_session(extra={"spark.ui.showConsoleProgress": "false"})
+    spark = build_session(input_bytes=args.input_bytes, extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     try:
         if args.command == "rank":
