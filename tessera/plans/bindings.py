@@ -68,7 +68,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     df = spark.read.parquet(path)
     key = TABLE_KEYS.get(name)
     if spread and key and os.path.isfile(path) and os.path.getsize(path) <= SPREAD_MAX_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism, key)
+        try:
+            parallelism = spark.sparkContext.defaultParallelism
+        except Exception:  # no local context (Spark Connect): read as it is
+            return df
+        df = df.repartition(parallelism, key)
     return df
 
 

@@ -82,11 +82,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     Reads ``spark.checkpoint.dir`` (or a directory already set on the
     context); never invents a machine-local folder.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context; the server applies the setting
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
