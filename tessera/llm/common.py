@@ -4,28 +4,32 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word: a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the session's shared folder and continue from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary folder of its own.
+    Only a local session without that setting gets a temporary folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            if not context.master.startswith("local"):
+            if not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="tessera-llm-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` in the shared folder and continue from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, langid, mixing, ngram_join, packing
+from .common import remainder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = langid.fit_on(docs, ~held_out)
+    return langid.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+
+
 def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -20,9 +28,23 @@ def op3_mixing(spark, sf_dir):
     return mixing.mix_sizes(_table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op9_packing(spark, sf_dir):
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op10_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.link_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
+    "op9_packing": op9_packing,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 ORACLE_SQL = {
