@@ -54,7 +54,7 @@ def tile_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def exact_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distance of rows, added component by component in double precision."""
-    d = (a - b).T
+    d = np.ascontiguousarray((a - b).T)  # a sum over the outer axis adds row by row
     return np.sqrt((d * d).sum(axis=0))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, exact_dedup, langid, mixing, ngram_join, packing, toxicity
+from . import ann, chat, exact_dedup, langid, mixing, ngram_join, packing, pii, suffix_dedup, toxicity
 from .common import remainder
 
 
@@ -42,6 +42,10 @@ def op5_chat_format(spark, sf_dir):
     return chat.conversation_digests(chat.format_conversations(rows.unionByName(extra)))
 
 
+def op6_pii(spark, sf_dir):
+    return pii.digests(pii.find_private(_table(spark, sf_dir, "documents")))
+
+
 def op7_toxicity(spark, sf_dir):
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     held_out = remainder(F.col("doc_id"), 5) == 0
@@ -49,6 +53,10 @@ def op7_toxicity(spark, sf_dir):
     return toxicity.score(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("evidence")
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_packing(spark, sf_dir):
     import public_tokenizers
 
@@ -66,7 +74,9 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_chat_format": op5_chat_format,
+    "op6_pii": op6_pii,
     "op7_toxicity": op7_toxicity,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
