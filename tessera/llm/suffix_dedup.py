@@ -224,7 +224,7 @@ def _cores(texts: DataFrame, length: int, span: int) -> DataFrame:
 def _records(texts: DataFrame, length: int, span: int) -> DataFrame:
     """Bytes around the live anchors of ``texts(sha, body, keys, hot_keys)``.
 
-    A record of a hot key is one start (``hot`` is its distance to the anchor).
+    A record of a hot key is the string of one start.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,20 +236,23 @@ def _records(texts: DataFrame, length: int, span: int) -> DataFrame:
                 key = key.view(np.int64)
                 hot = np.isin(key, batch.column("hot_keys")[row].values.to_numpy())
                 live = hot | np.isin(key, batch.column("keys")[row].values.to_numpy())
-                out: list[tuple] = []
+                # Equal records of one text are one row with all their places.
+                found: dict[tuple, list[int]] = {}
                 for i in np.flatnonzero(live).tolist():
                     k, a, f, z = int(key[i]), int(at[i]), int(first[i]), int(last[i])
                     if hot[i]:
-                        out += [(k, 0, body[s : s + length], s, a - s) for s in range(f, z + 1)]
+                        for s in range(f, z + 1):
+                            found.setdefault((k, a - s, body[s : s + length], True), []).append(s)
                     else:
-                        out.append((k, a - f, body[f : z + length], f, None))
+                        found.setdefault((k, a - f, body[f : z + length], False), []).append(f)
+                out = [(*record, starts) for record, starts in found.items()]
                 for start in range(0, len(out), 4096):
                     part = out[start : start + 4096]
-                    columns = [pa.array([r[j] for r in part], t) for j, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32()))]
+                    columns = [pa.array([r[j] for r in part], t) for j, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.bool_(), pa.list_(pa.int64())))]
                     columns.append(pa.array([shas[row]] * len(part), pa.binary()))
-                    yield pa.RecordBatch.from_arrays(columns, names=["key", "offset", "bytes", "start", "hot", "sha"])
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "offset", "bytes", "hot", "starts", "sha"])
 
-    return texts.mapInArrow(run, "key long, offset int, bytes binary, start long, hot int, sha binary")
+    return texts.mapInArrow(run, "key long, offset int, bytes binary, hot boolean, starts array<long>, sha binary")
 
 
 def _ranges_of_groups(records: DataFrame, length: int, span: int) -> DataFrame:
@@ -262,13 +265,16 @@ def _ranges_of_groups(records: DataFrame, length: int, span: int) -> DataFrame:
             rows = rows.combine_chunks()
             key = rows.column("key").to_numpy()
             group = np.cumsum(np.concatenate(([0], key[1:] != key[:-1]))) if len(key) else key
-            offset, start = rows.column("offset").to_numpy().astype(np.int64), rows.column("start").to_numpy()
-            low, high = repeated_starts(group, offset, rows.column("bytes").to_pylist(), length, span)
-            hit = low >= 0
-            return pa.RecordBatch.from_arrays(
-                [rows.column("sha").combine_chunks().filter(pa.array(hit)), pa.array(start[hit] + low[hit]), pa.array(start[hit] + high[hit] + length)],
-                names=["sha", "low", "high"],
-            )
+            offset, texts = rows.column("offset").to_numpy().astype(np.int64), rows.column("bytes").to_pylist()
+            low, high = repeated_starts(group, offset, texts, length, span)
+            shas, out = rows.column("sha").to_pylist(), ([], [], [])
+            for i, starts in enumerate(rows.column("starts").to_pylist()):
+                a, b = (0, len(texts[i]) - length) if len(starts) > 1 else (int(low[i]), int(high[i]))
+                for start in starts if a >= 0 else []:
+                    for column, value in zip(out, (shas[i], start + a, start + b + length)):
+                        column.append(value)
+            kinds = (pa.binary(), pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["sha", "low", "high"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
@@ -330,20 +336,23 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, span: int = SPAN, grou
     cores = _cores(texts, length, span).repartition("key")
     counts = cores.groupBy("key").agg(F.min("th").alias("lo"), F.max("th").alias("hi"), F.max("twice").alias("twice"), F.count(F.lit(1)).alias("n"))
     live = counts.filter("lo < hi OR twice").select("key", (F.col("n") > group_rows).alias("hot"))
+    # Counting and joining use the same columns, and so the same shuffle.
     lists = cores.join(live, "key").groupBy("th").agg(
-        F.collect_set(F.when(~F.col("hot"), F.col("key"))).alias("keys"), F.collect_set(F.when(F.col("hot"), F.col("key"))).alias("hot_keys")
-    )
+        F.collect_set(F.when(~F.col("hot"), F.col("key"))).alias("keys"),
+        F.collect_set(F.when(F.col("hot"), F.col("key"))).alias("hot_keys"),
+        F.count_if("twice").alias("twice"),
+    )
     copies = cut(texts.select("sha", "th", "doc_id").groupBy("sha", "th").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep")))
-    chosen = copies.join(lists, "th").select(F.col("sha").alias("c_sha"), "rep", "keys", "hot_keys")
+    chosen = cut(copies.join(lists, "th").select(F.col("sha").alias("c_sha"), "rep", "keys", "hot_keys", "twice"))
     one_each = texts.join(chosen, (F.col("sha") == F.col("c_sha")) & same(F.col("doc_id"), F.col("rep")))
     records = _records(one_each.select("sha", "body", "keys", "hot_keys"), length, span)
 
-    ranges = _ranges_of_groups(records.filter("hot IS NULL").drop("hot"), length, span)
+    ranges = _ranges_of_groups(records.filter("NOT hot").drop("hot"), length, span)
     ranges = cut(ranges.groupBy("sha").agg(F.collect_list(F.struct("low", "high")).alias("ranges")))
-    if not live.filter("hot").isEmpty():
-        starts = cut(records.filter("hot IS NOT NULL").select("hot", "sha", "start", "bytes"))
-        twice = starts.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bytes")
-        more = starts.join(twice, "bytes").select("sha", F.col("start").alias("low"), (F.col("start") + length).alias("high"))
+    if not chosen.filter(F.size("hot_keys") > 0).isEmpty():
+        starts = cut(records.filter("hot").select("sha", "starts", "bytes"))
+        twice = starts.groupBy("bytes").agg(F.sum(F.size("starts")).alias("n")).filter("n > 1").select("bytes")
+        more = starts.join(twice, "bytes").select("sha", F.explode("starts").alias("low")).withColumn("high", F.col("low") + length)
         every = ranges.select("sha", F.inline("ranges")).unionByName(more)
         ranges = cut(every.groupBy("sha").agg(F.collect_list(F.struct("low", "high")).alias("ranges")))
     ranges = copies.filter("copies > 1").select("sha", "copies").join(ranges, "sha", "full_outer").withColumnRenamed("sha", "r_sha")
