@@ -67,8 +67,9 @@ class Shingler:
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        for w in set(words) - known.keys():
-            known[w] = self.hash(w)
+        for w in words:
+            if w not in known:
+                known[w] = self.hash(w)
         h = np.array([known[w] for w in words], np.uint64)
         m = len(h) - self.words + 1
         out = h[:m].copy()

@@ -97,7 +97,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
                 words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
                 if len(known) > CACHE_WORDS:
                     known = {"": b""}
-                new = list(set(words) - known.keys())
+                new = [w for w in set(words) if w not in known]
                 for word, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
                     known[word] = b"".join([i.to_bytes(4, "little") for i in e.ids])
                 body = b"".join([known[w] for w in words]) + end
