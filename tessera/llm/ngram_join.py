@@ -8,10 +8,11 @@ threshold (``num / den``, compared in integers). The result is exact; the steps
    least one of the first ``t + 1`` non-empty parts of either, so only those are tokens. A
    token stands for about ten shingles, so a passage that many texts share gives no common
    token to texts that otherwise differ. Tokens of a single text are dropped.
-2. Groups. Every distinct set goes to the group of its smallest live token, so similar texts
-   mostly meet; groups above ``GROUP_ROWS`` are split into blocks. Each group is joined
-   by itself: a text is compared with the components found so far, and with a component only
-   until one link is found.
+2. Groups. Every distinct set goes to the group of its smallest live token, and groups that
+   share a token move to the smallest of theirs, so similar texts mostly meet; groups of more
+   than ``GROUP_SHINGLES`` shingles are split into blocks. Each group is joined by itself: the
+   shingles that several members hold form a 0/1 matrix, and its product with itself, in
+   tiles, gives all overlaps.
 3. Matrix. Each group's token union is stored as (token, group) pairs. First one member a
    pair is compared across the groups of a token, which merges the groups of most copies.
    Then every text is looked up: a group is opened for it if they share a token (the lower
@@ -38,7 +39,9 @@ from pyspark.sql import functions as F
 
 from .common import cut, same
 
-GROUP_ROWS = 1000
+GROUP_SHINGLES = 2_000_000
+TILE = 512
+COLUMNS = 1024
 CACHE_WORDS = 200_000
 
 
@@ -168,23 +171,68 @@ def linked(a: frozenset, b: frozenset, num: int, den: int) -> bool:
     return common * den >= (len(a) + len(b) - common) * num
 
 
-def join_members(nodes: list[int], sets: list[frozenset], num: int, den: int) -> list[int]:
+class Members:
+    """The sets of a group, as a matrix over the shingles worth counting."""
+
+    def __init__(self, sets: list[np.ndarray], least: int):
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        values, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        kept = counts >= least
+        column = np.where(kept, np.cumsum(kept) - 1, -1)[inverse]
+        row = np.repeat(np.arange(len(sets)), self.sizes)
+        self.values = values[kept]
+        self.row, self.column = _by_column(row[column >= 0], column[column >= 0])
+
+    def overlaps(self, row: np.ndarray, column: np.ndarray, n: int) -> np.ndarray:
+        """Common shingles of ``n`` sets, given by sorted columns, with every member."""
+        out = np.zeros((n, len(self.sizes)), np.float32)
+        for at in range(0, len(self.values), COLUMNS):
+            ours = slice(*np.searchsorted(self.column, (at, at + COLUMNS)))
+            theirs = slice(*np.searchsorted(column, (at, at + COLUMNS)))
+            if ours.start == ours.stop or theirs.start == theirs.stop:
+                continue
+            a, b = np.zeros((n, COLUMNS), np.float32), np.zeros((len(self.sizes), COLUMNS), np.float32)
+            a[row[theirs], column[theirs] - at] = 1
+            b[self.row[ours], self.column[ours] - at] = 1
+            out += a @ b.T
+        return out.astype(np.int64)
+
+    def links(self, row: np.ndarray, column: np.ndarray, sizes: np.ndarray, num: int, den: int) -> np.ndarray:
+        common = self.overlaps(row, column, len(sizes))
+        return common * den >= (sizes[:, None] + self.sizes[None, :] - common) * num
+
+    def links_of(self, sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+        """Which of ``sets`` link with which members."""
+        sizes = np.array([len(s) for s in sets], np.int64)
+        every = np.concatenate(sets)
+        column = np.searchsorted(self.values, every)
+        known = column < len(self.values)
+        known[known] = self.values[column[known]] == every[known]
+        row = np.repeat(np.arange(len(sets)), sizes)
+        return self.links(*_by_column(row[known], column[known]), sizes, num, den)
+
+
+def _by_column(row: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(column, kind="stable")
+    return row[order], column[order]
+
+
+def join_members(nodes: list[int], sets: list[np.ndarray], num: int, den: int) -> list[int]:
     """For each member the smallest node of its component inside the group."""
-    components: list[list[int]] = []
-    for i in range(len(nodes)):
-        merged, rest = [i], []
-        for c in components:
-            if any(linked(sets[i], sets[k], num, den) for k in c):
-                merged += c
-            else:
-                rest.append(c)
-        components = [*rest, merged]
-    out = [0] * len(nodes)
-    for c in components:
-        least = min(nodes[i] for i in c)
-        for i in c:
-            out[i] = least
-    return out
+    members = Members(sets, 2)
+    label = np.arange(len(nodes))
+    for at in range(0, len(nodes), TILE):
+        n = min(TILE, len(nodes) - at)
+        inside = (members.row >= at) & (members.row < at + n)
+        found = members.links(members.row[inside] - at, members.column[inside], members.sizes[at : at + n], num, den)
+        for i in range(n):
+            linked_labels = np.unique(np.append(label[found[i]], label[at + i]))
+            if len(linked_labels) > 1:
+                label[np.isin(label, linked_labels)] = linked_labels[0]
+    least: dict[int, int] = {}
+    for node, k in zip(nodes, label.tolist()):
+        least[k] = min(node, least.get(k, node))
+    return [least[k] for k in label.tolist()]
 
 
 def _by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[dict]]:
@@ -214,7 +262,7 @@ def _local_labels(sets: DataFrame, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _by_group(batches, ["token", "block"]):
             nodes = [r["node"] for r in group]
-            labels = join_members(nodes, [frozenset(r["shingles"].tolist()) for r in group], num, den) if len(group) > 1 else nodes
+            labels = join_members(nodes, [r["shingles"] for r in group], num, den) if len(group) > 1 else nodes
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(labels, pa.int64())], names=["node", "label"])
 
     return _contiguous(sets, ["token", "block"], "node").mapInArrow(run, "node long, label long")
@@ -224,23 +272,35 @@ def _opened_links(cells: DataFrame, num: int, den: int) -> DataFrame:
     """Links ``(a, b)`` of labels, from cells of members and then the texts that opened the group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        members, at = {}, None
+        at, sets, labels, members, asked = None, [], [], None, []
+
+        def answers() -> pa.RecordBatch:
+            pairs = set()
+            if asked:
+                found = members.links_of([s for _, s in asked], num, den)
+                for (label, _), hit in zip(asked, found):
+                    pairs.update((label, other) for other in np.unique(own[hit]).tolist() if other != label)
+                asked.clear()
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
         for batch in batches:
-            a, b = [], []
-            key_columns = [batch.column(k).to_pylist() for k in ("token", "block", "query", "label")]
+            columns = [batch.column(k).to_pylist() for k in ("token", "block", "query", "label")]
             lists = batch.column("shingles")
-            for row, (token, block, query, label) in enumerate(zip(*key_columns)):
+            for row, (token, block, query, label) in enumerate(zip(*columns)):
                 if (token, block) != at:
-                    members, at = {}, (token, block)
-                own = frozenset(lists[row].values.to_pylist())
+                    yield answers()
+                    at, sets, labels, members = (token, block), [], [], None
+                values = lists[row].values.to_numpy()
                 if not query:
-                    members.setdefault(label, []).append(own)
+                    sets.append(values)
+                    labels.append(label)
                     continue
-                for other, sets in members.items():
-                    if other != label and any(linked(own, s, num, den) for s in sets):
-                        a.append(label)
-                        b.append(other)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                if members is None:
+                    members, own = Members(sets, 1), np.array(labels, np.int64)
+                asked.append((label, values))
+                if len(asked) == TILE:
+                    yield answers()
+        yield answers()
 
     return _contiguous(cells, ["token", "block"], "query").mapInArrow(run, "a long, b long")
 
@@ -285,23 +345,27 @@ def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     return cut(joined.select("node", F.coalesce("m_label", "label").alias("label")))
 
 
-def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, group_rows: int = GROUP_ROWS) -> DataFrame:
+def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs``."""
     rows = features(docs, words, num, den)
     tokens = rows.filter("n_shingles > 0").select("node", F.explode("tokens").alias("token")).repartition("token")
     live = tokens.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("token")
     live = cut(tokens.join(live, "token").distinct())
 
-    home = live.groupBy("node").agg(F.min("token").alias("token"))
-    sizes = home.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / F.lit(group_rows)).alias("blocks"))
-    home = home.join(sizes, "token").select("node", "token", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
-
     ids = cut(rows.select("doc_id", "row_key", "n_shingles", "node"))
-    chosen = ids.join(home, "node").groupBy("node", "token", "block").agg(F.min(F.struct("doc_id", "row_key")).alias("row"))
-    chosen = chosen.select("node", "token", "block", F.col("row.doc_id").alias("c_id"), F.col("row.row_key").alias("c_key"))
+    nodes = ids.filter("node IS NOT NULL").groupBy("node").agg(F.max("n_shingles").alias("n"), F.min(F.struct("doc_id", "row_key")).alias("row"))
+    smallest = live.groupBy("node").agg(F.min("token").alias("home"))
+    shared = live.join(smallest, "node").groupBy("token").agg(F.min("home").alias("home"))
+    home = live.join(shared, "token").groupBy("node").agg(F.min("home").alias("token"))
+    home = cut(home.join(nodes, "node"))
+    sizes = home.groupBy("token").agg(F.ceil(F.sum("n") / F.lit(group_shingles)).alias("blocks"))
+    chosen = home.join(sizes, "token").select(
+        "node", "token", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.col("row.doc_id").alias("c_id"), F.col("row.row_key").alias("c_key")
+    )
+    chosen = cut(chosen)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_key"), "text")
     texts = chosen.join(texts, same(F.col("doc_id"), F.col("c_id")) & (F.col("row_key") == F.col("c_key")))
-    homes = cut(chosen.select("node", "token", "block"))
+    homes = chosen.select("node", "token", "block")
     sets = cut(_shingle_sets(texts.select("node", "text"), words).dropDuplicates(["node"]))
 
     placed = sets.join(homes, "node")
