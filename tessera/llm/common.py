@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are no longer referenced.
+
+    It does so when the driver's JVM collects them, which a driver with little to do may put
+    off while the next large shuffle fills the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """``crc32`` of the id's decimal text, modulo ``divisor``; -1 for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % divisor, F.lit(-1))

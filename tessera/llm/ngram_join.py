@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, same
+from .common import cut, release_shuffles, same
 
 GROUP_SHINGLES = 2_000_000
 TILE = 512
@@ -129,7 +129,7 @@ class Schemes:
 
 def features(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """``(doc_id, row_key, n_shingles, node, tokens)`` for every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_key"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row_key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, schemes = Shingler(words), Schemes(num, den)
@@ -153,15 +153,18 @@ def features(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
 
 def _shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """``(node, token, block, shingles)`` for ``texts(node, token, block, text)``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(words)
+        shingles, names = Shingler(words), ["node", "token", "block"]
         for batch in batches:
-            nodes, texts = batch.column("node"), batch.column("text").to_pylist()
+            texts = batch.column("text").to_pylist()
             for at in range(0, len(texts), 200):  # small batches: a set may be larger than its text
                 sets = [shingles(t).view(np.int64) for t in texts[at : at + 200]]
-                yield pa.RecordBatch.from_arrays([nodes.slice(at, 200), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+                columns = [batch.column(n).slice(at, 200) for n in names]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.list_(pa.int64()))], names=[*names, "shingles"])
 
-    return texts.mapInArrow(run, "node long, shingles array<long>")
+    return texts.mapInArrow(run, "node long, token long, block long, shingles array<long>")
 
 
 def linked(a: frozenset, b: frozenset, num: int, den: int) -> bool:
@@ -351,6 +354,8 @@ def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
     tokens = rows.filter("n_shingles > 0").select("node", F.explode("tokens").alias("token")).repartition("token")
     live = tokens.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("token")
     live = cut(tokens.join(live, "token").distinct())
+    del tokens
+    release_shuffles(docs.sparkSession)
 
     ids = cut(rows.select("doc_id", "row_key", "n_shingles", "node"))
     nodes = ids.filter("node IS NOT NULL").groupBy("node").agg(F.max("n_shingles").alias("n"), F.min(F.struct("doc_id", "row_key")).alias("row"))
@@ -359,16 +364,18 @@ def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
     home = live.join(shared, "token").groupBy("node").agg(F.min("home").alias("token"))
     home = cut(home.join(nodes, "node"))
     sizes = home.groupBy("token").agg(F.ceil(F.sum("n") / F.lit(group_shingles)).alias("blocks"))
-    chosen = home.join(sizes, "token").select(
-        "node", "token", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.col("row.doc_id").alias("c_id"), F.col("row.row_key").alias("c_key")
+    chosen = cut(
+        home.join(sizes, "token").select("node", "token", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long").alias("block"), F.col("row.row_key").alias("row_key"))
     )
-    chosen = cut(chosen)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_key"), "text")
-    texts = chosen.join(texts, same(F.col("doc_id"), F.col("c_id")) & (F.col("row_key") == F.col("c_key")))
     homes = chosen.select("node", "token", "block")
-    sets = cut(_shingle_sets(texts.select("node", "text"), words).dropDuplicates(["node"]))
+    # De-duplication and join share one shuffle of the texts.
+    texts = docs.select(F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row_key"), "text").dropDuplicates(["row_key"])
+    texts = texts.join(chosen, "row_key").select("node", "token", "block", "text")
+    placed = cut(_shingle_sets(texts, words))
+    sets = placed.select("node", "shingles")
+    del texts
+    release_shuffles(docs.sparkSession)
 
-    placed = sets.join(homes, "node")
     labels = cut(_local_labels(placed, num, den))
 
     where = homes.withColumnsRenamed({"token": "g_token", "block": "g_block"})
