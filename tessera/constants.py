@@ -59,5 +59,3 @@ CLUSTER_REPORT_FORMAT = "%7d  %-17s (%-5.1f%%)      %7d"
 INLINE_VOCABULARY_LIMIT = 1024
 # A vocabulary table is broadcast only while its estimated size stays below this.
 VOCABULARY_BROADCAST_BYTES = 64 * 1024 * 1024
-# Upper bound on centres collected to the driver per k-means iteration.
-MAX_CENTRES = 100_000

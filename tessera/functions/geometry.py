@@ -12,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import MAX_CENTRES
-
 Point = tuple[int, int]
 
 
@@ -46,8 +44,6 @@ def check_centres(centres: Sequence[Point]) -> list[Point]:
     centres = [(int(x), int(y)) for x, y in centres]
     if not centres:
         raise ValueError("no centres given")
-    if len(centres) > MAX_CENTRES:
-        raise ValueError(f"{len(centres)} centres exceed the limit of {MAX_CENTRES}")
     return centres
 
 
@@ -55,30 +51,29 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def squared_distance_sql(x: str, y: str, cx: int, cy: int) -> str:
-    """SQL text of :func:`squared_distance` from column ``(x, y)`` to the point ``(cx, cy)``."""
-    dx = f"(CAST({_quoted(x)} AS DOUBLE) - CAST({int(cx)} AS DOUBLE))"
-    dy = f"(CAST({_quoted(y)} AS DOUBLE) - CAST({int(cy)} AS DOUBLE))"
-    return f"{dx} * {dx} + {dy} * {dy}"
+def centre_array_sql(centres: Sequence[Point]) -> str:
+    """The centres as one array literal of ``struct<pos, cx, cy>``, which Spark folds to a constant."""
+    structs = (
+        f"named_struct('pos', {pos}, 'cx', CAST({cx} AS INT), 'cy', CAST({cy} AS INT))"
+        for pos, (cx, cy) in enumerate(check_centres(centres))
+    )
+    return f"array({', '.join(structs)})"
 
 
-def centre_structs_sql(centres: Sequence[Point], x: str = "x", y: str = "y") -> list[str]:
-    """One ``named_struct(d, pos, cx, cy)`` SQL text per centre."""
-    return [
-        f"named_struct('d', {squared_distance_sql(x, y, cx, cy)}, 'pos', {pos},"
-        f" 'cx', CAST({cx} AS INT), 'cy', CAST({cy} AS INT))"
-        for pos, (cx, cy) in enumerate(check_centres(centres))
-    ]
+def distances_sql(centres: Sequence[Point], fields: str, x: str = "x", y: str = "y") -> str:
+    """``transform`` of the centre array; ``fields`` may use ``c`` and the squared distance ``{d}``."""
+    dx = f"(CAST({_quoted(x)} AS DOUBLE) - CAST(c.cx AS DOUBLE))"
+    dy = f"(CAST({_quoted(y)} AS DOUBLE) - CAST(c.cy AS DOUBLE))"
+    struct = fields.format(d=f"{dx} * {dx} + {dy} * {dy}")
+    return f"transform({centre_array_sql(centres)}, c -> named_struct({struct}))"
 
 
 def nearest_centre(centres: Sequence[Point], x: str = "x", y: str = "y") -> Column:
     """Struct ``(d, pos, cx, cy)`` of the closest centre to columns ``(x, y)``.
 
-    ``least`` over structs compares the distance first and then the position,
-    so a tie goes to the earliest centre in the list. The expression is
-    handed to Spark as one SQL expression: k-means rebuilds it every step,
-    and assembling it from column objects costs one JVM round trip per node
-    (0.6 s per step for 45 centres, against 0.05 s as one expression).
+    The smallest struct has the smallest distance and then the smallest position, so a tie
+    goes to the earliest centre in the list. The generated code does not grow with the
+    number of centres: they are one array constant that a lambda walks through.
     """
-    structs = centre_structs_sql(centres, x, y)
-    return F.expr(structs[0] if len(structs) == 1 else "least(" + ", ".join(structs) + ")")
+    fields = "'d', {d}, 'pos', c.pos, 'cx', c.cx, 'cy', c.cy"
+    return F.expr(f"array_min({distances_sql(centres, fields, x, y)})")

@@ -27,10 +27,10 @@ from ..functions.geometry import (
     Point,
     centres_distance_py,
     check_centres,
+    distances_sql,
     nearest_centre,
     point_distance_py,
     squared_distance,
-    squared_distance_sql,
 )
 from ..schemas import CENTRE, KMEANS_TRACE
 from ..session import literal_frame, materialize, release
@@ -72,12 +72,8 @@ def point_distance(points: DataFrame, centres: Sequence[Point]) -> DataFrame:
 
     Generated per point from the inlined centre list (no join).
     """
-    structs = [
-        f"named_struct('pos', {pos}, 'cx', CAST({cx} AS INT), 'cy', CAST({cy} AS INT),"
-        f" 'distance', {squared_distance_sql('x', 'y', cx, cy)})"
-        for pos, (cx, cy) in enumerate(check_centres(centres))
-    ]
-    return points.select("x", "y", F.inline(F.expr("array(" + ", ".join(structs) + ")")))
+    fields = "'pos', c.pos, 'cx', c.cx, 'cy', c.cy, 'distance', {d}"
+    return points.select("x", "y", F.inline(F.expr(distances_sql(centres, fields))))
 
 
 def average_vectors(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -181,14 +177,14 @@ def kmeans(
                 for pos, (a, b, move) in enumerate(zip(means, new, moves))
             )
             if debug:
-                print(f"Iteration: {step}\n  * current distance: {distance}\n  * desired distance: {eta}\n  * means:")
-                for a, b, move in zip(means, new, moves):
-                    print(f"   {str(a):>20} ==> {str(b):>20}    distance: {move:8.0f}")
+                print(f"step {step}: centres moved by {distance:g} in all (stops below {eta:g})")
+                for move, a, b in sorted(zip(moves, means, new), reverse=True):
+                    print(f"  {move:12g}  {a} to {b}")
             if distance < eta:
                 return KMeansResult(new, step, True, trace)
             if step >= max_iterations:
                 if debug:
-                    print("Reached max iterations!")
+                    print(f"stopped after step {step} without settling")
                 return KMeansResult(new, step, False, trace)
             means = new
             step += 1

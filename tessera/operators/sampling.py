@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import MAX_CENTRES, SAMPLE_SEED, SMALL_SPREAD_THRESHOLD
+from ..constants import SAMPLE_SEED, SMALL_SPREAD_THRESHOLD
 from ..functions.geometry import Point
 from ..functions.text import check_vocabulary
 
@@ -40,9 +40,7 @@ def sample_per_language(
     """
     terms = check_vocabulary(langs)
     if kernels <= 0 or kernels % len(terms) != 0:
-        raise ValueError("kernels should be a positive multiple of the number of languages studied")
-    if kernels > MAX_CENTRES:
-        raise ValueError(f"kernels above {MAX_CENTRES}")
+        raise ValueError("kernels must be a positive multiple of the vocabulary size")
     per_lang = kernels // len(terms)
     keyed = distinct_vectors(vectors).withColumn("_h", sample_key(seed))
     draw = Window.partitionBy("x").orderBy("_h", "y")
@@ -56,8 +54,8 @@ def sample_global(vectors: DataFrame, kernels: int, seed: int = SAMPLE_SEED) ->
     ``orderBy(...).limit(k)`` runs as a per-task top-k followed by one merge
     of at most k rows per task.
     """
-    if kernels <= 0 or kernels > MAX_CENTRES:
-        raise ValueError(f"kernels must be in 1..{MAX_CENTRES}")
+    if kernels <= 0:
+        raise ValueError("kernels must be positive")
     keyed = distinct_vectors(vectors).withColumn("_h", sample_key(seed))
     picked = keyed.orderBy("_h", "x", "y").limit(kernels)
     return _numbered(picked, kernels, ("_h", "x", "y"))
@@ -96,8 +94,6 @@ def _numbered(picked: DataFrame, kernels: int, order: Sequence[str]) -> DataFram
 
 
 def take_centres(sample: DataFrame) -> list[Point]:
-    """Collect a ``(pos, x, y)`` centre table (bounded by ``MAX_CENTRES``) in position order."""
-    rows = sample.orderBy("pos").limit(MAX_CENTRES + 1).collect()
-    if len(rows) > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} centres")
+    """Collect a ``(pos, x, y)`` centre table, of ``kernels`` rows, in position order."""
+    rows = sample.orderBy("pos").collect()
     return [(int(r["x"]), int(r["y"])) for r in rows]

@@ -7,8 +7,6 @@ live in :mod:`tessera.plans.oracle`.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,32 +46,9 @@ SURVEY_MINUTE_COLUMNS: tuple[str, ...] = (
 )
 
 
-# Key used to spread a table's rows when it is stored as one small file.
-TABLE_KEYS = {"documents": "doc_id", "orders": "o_orderkey", "lineitem": "l_orderkey"}
-# Above this size a single file is assumed to hold enough row groups.
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Scan ``{sf_dir}/{name}.parquet``.
-
-    Parquet splits by row group, and the supplied tables are single local
-    files of one row group each, so a scan of one of them is a single task.
-    Such a file is hash-partitioned on its key across the session's
-    parallelism before any per-row work. A folder of files, a remote path or
-    a file over ``SPREAD_MAX_BYTES`` is read as it is (no extra shuffle),
-    and so is any table with ``spread=False`` (inputs of plain aggregates).
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    key = TABLE_KEYS.get(name)
-    if spread and key and os.path.isfile(path) and os.path.getsize(path) <= SPREAD_MAX_BYTES:
-        try:
-            parallelism = spark.sparkContext.defaultParallelism
-        except Exception:  # no local context (Spark Connect): read as it is
-            return df
-        df = df.repartition(parallelism, key)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan ``{sf_dir}/{name}.parquet`` as it is stored."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,5 +136,5 @@ def survey_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def integers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Integer column ``x`` = quantity - 25 (negative values included)."""
-    lineitem = table(spark, sf_dir, "lineitem", spread=False)
+    lineitem = table(spark, sf_dir, "lineitem")
     return lineitem.select((F.col("l_quantity").cast("int") - 25).alias("x"))

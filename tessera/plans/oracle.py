@@ -99,10 +99,10 @@ def _build() -> dict[str, str]:
     # -- postings -------------------------------------------------------------
     C.add(
         "postings",
-        "SELECT 1 AS posting_type, CAST(o_orderkey AS INTEGER) AS id, CAST(NULL AS INTEGER) AS accepted_answer,"
-        " CAST(NULL AS INTEGER) AS parent_id, 0 AS score, NULLIF(o_orderpriority, '') AS tags FROM orders\n"
+        "SELECT 1 AS posting_type, CAST(o_orderkey AS BIGINT) AS id, CAST(NULL AS BIGINT) AS accepted_answer,"
+        " CAST(NULL AS BIGINT) AS parent_id, 0 AS score, NULLIF(o_orderpriority, '') AS tags FROM orders\n"
         "UNION ALL\n"
-        "SELECT 2, CAST(l_orderkey * 10 + l_linenumber AS INTEGER), NULL, CAST(l_orderkey AS INTEGER),"
+        "SELECT 2, CAST(l_orderkey * 10 + l_linenumber AS BIGINT), NULL, CAST(l_orderkey AS BIGINT),"
         " CAST(l_quantity AS INTEGER) - 25, NULL FROM lineitem",
     )
     C.add("questions", "SELECT * FROM postings WHERE posting_type = 1", "postings")

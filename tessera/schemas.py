@@ -18,9 +18,9 @@ ARTICLE = StructType([
 
 POSTING = StructType([
     StructField("posting_type", IntegerType()),
-    StructField("id", IntegerType()),
-    StructField("accepted_answer", IntegerType()),
-    StructField("parent_id", IntegerType()),
+    StructField("id", LongType()),
+    StructField("accepted_answer", LongType()),
+    StructField("parent_id", LongType()),
     StructField("score", IntegerType()),
     StructField("tags", StringType()),
 ])

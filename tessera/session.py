@@ -96,20 +96,6 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the session's checkpoint folder, or ``fallback`` where none is set.
-
-    Meant for tests and local runs: a cluster names its shared folder in
-    ``spark.checkpoint.dir`` and that one always wins.
-    """
-    existing = checkpoint_dir(spark)
-    if existing:
-        return existing
-    os.makedirs(fallback, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return spark.sparkContext.getCheckpointDir()
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage for repeated passes.
 

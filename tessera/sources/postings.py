@@ -35,9 +35,9 @@ def parse_postings(lines: DataFrame, column: str = "value") -> DataFrame:
 
     return split.select(
         required_cast(F.col("_type"), "int", "posting type").alias("posting_type"),
-        required_cast(field(1), "int", "posting id").alias("id"),
-        strict_cast(optional(2), "int", "accepted answer id").alias("accepted_answer"),
-        strict_cast(optional(3), "int", "parent id").alias("parent_id"),
+        required_cast(field(1), "bigint", "posting id").alias("id"),
+        strict_cast(optional(2), "bigint", "accepted answer id").alias("accepted_answer"),
+        strict_cast(optional(3), "bigint", "parent id").alias("parent_id"),
         required_cast(field(4), "int", "score").alias("score"),
         optional(5).alias("tags"),
     )

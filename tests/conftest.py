@@ -10,7 +10,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tessera.session import build_session, ensure_checkpoint_dir  # noqa: E402
+from tessera.session import build_session, checkpoint_dir  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -25,7 +25,8 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     # The session's own checkpoint folder wins; a fresh temp folder only where none is set.
-    ensure_checkpoint_dir(session, tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp"))
+    if not checkpoint_dir(session):
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp"))
     yield session
     session.stop()
 

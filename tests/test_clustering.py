@@ -130,3 +130,15 @@ def test_extreme_integer_centres(spark):
     rows = nearest_center(p, [(-(2**31), 0), (2**31 - 1, 0)]).collect()
     assert [(r.cx, r.cy) for r in rows] == [(-(2**31), 0), (2**31 - 1, 0)]
     assert nearest_center(p, [(-(2**31), 0)]).schema["cx"].dataType.simpleString() == "int"
+
+
+@pytest.mark.parametrize("k", [45, 210, 1000, 3000])
+def test_a_step_with_many_centres_equals_brute_force(spark, k):
+    points = [((i * 7919) % 5003, (i * 104729) % 997) for i in range(400)]
+    centres = [((i * 31) % 5003, (i * 17) % 997) for i in range(k - 1)]
+    centres.append(centres[0])  # a tie goes to the earlier centre
+    table = spark.createDataFrame(points, "x int, y int")
+    got = {(r.x, r.y): (r.cx, r.cy) for r in nearest_center(table, centres).collect()}
+    for p in points:
+        best = min(centres, key=lambda c: (p[0] - c[0]) ** 2 + (p[1] - c[1]) ** 2)
+        assert got[p] == best

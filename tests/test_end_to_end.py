@@ -31,10 +31,10 @@ def write(path, text):
 
 def test_ranking_from_an_article_file(spark, tmp_dir):
     articles = [
-        ("Scala", "Scala and Java run on the JVM"),
-        ("Java", "Java is for enterprise developers"),
-        ("Haskell", "The cool kids like Haskell more than Java"),
-        ("Erlang", "Groovy is pretty interesting, and so is Erlang"),
+        ("Scala", "compile Scala beside Java sources"),
+        ("Java", "old Java servers still answer"),
+        ("Haskell", "from Haskell types back to Java"),
+        ("Erlang", "a night of Groovy scripts before Erlang"),
     ]
     body = "".join(f"<page> <title>{t}</title><text>{x}</text>  </page>\n" for t, x in articles)
     lines = read_lines(spark, write(os.path.join(tmp_dir, "articles.dat"), body))
@@ -63,7 +63,7 @@ def test_clustering_from_a_posting_file(spark, tmp_dir, capsys):
     centres = take_centres(sample_per_language(vectors, langs, 4))
     result = kmeans(vectors, centres, eta=20.0, max_iterations=120, debug=True)
     assert result.converged
-    assert "Iteration: 1" in capsys.readouterr().out
+    assert "step 1:" in capsys.readouterr().out
     report = cluster_results(result.centres, vectors, langs, 50000).collect()
     assert sum(r.cluster_size for r in report) == 60
     assert [r.median_score for r in report] == sorted(r.median_score for r in report)

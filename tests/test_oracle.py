@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tessera.plans import ORACLE_SQL, QUERIES
 
 HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _spec = importlib.util.spec_from_file_location("check_oracle", os.path.join(HERE, "scripts", "check_oracle.py"))
@@ -27,16 +28,16 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) == 36
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert len(QUERIES) == 36
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
-    sdf = entry.queries()[key](spark, SF)
+    sdf = QUERIES[key](spark, SF)
     stypes = {f.name: check.spark_family(f.dataType) for f in sdf.schema.fields}
     got_cols, got = check.rows_of(sdf.toPandas())
-    rel = con.sql(entry.oracle_sql()[key])
+    rel = con.sql(ORACLE_SQL[key])
     dtypes = {n: check.duck_family(t) for n, t in zip(rel.columns, rel.types)}
     want_cols, want = check.rows_of(rel.df())
     assert got_cols == want_cols

@@ -87,3 +87,9 @@ def test_weighted_vectors(spark):
 def test_spread_must_be_positive(postings):
     with pytest.raises(ValueError):
         vector_postings(scored_postings(postings), TAGS, 0)
+
+
+def test_ids_beyond_32_bit_parse_and_join(spark):
+    lines = spark.createDataFrame([("1,3000000000,,,0,java",), ("2,3000000001,,3000000000,4",)], "value string")
+    rows = question_answer_join(parse_postings(lines)).collect()
+    assert [(r.q_id, r.a_id) for r in rows] == [(3000000000, 3000000001)]

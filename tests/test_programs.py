@@ -36,7 +36,7 @@ def test_cluster_posting_file_with_default_constants(spark, tmp_dir, capsys):
             lines.append(f"2,{100000 + qid},,{qid},{(q * 13 + li * 7) % 50}")
     out = cluster_posting_file(spark, write(os.path.join(tmp_dir, "postings.csv"), "\n".join(lines) + "\n"), debug=True)
     assert len(out.kmeans.centres) == 45
-    assert "Iteration: 1" in capsys.readouterr().out
+    assert "step 1:" in capsys.readouterr().out
     results = out.results.collect()
     assert sum(r.cluster_size for r in results) == 8 * len(LANGUAGES)
     assert {r.lang for r in results} <= set(LANGUAGES)
