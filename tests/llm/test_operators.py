@@ -76,7 +76,7 @@ def test_empty_tables(spark):
 
 
 def test_mixing_targets_and_rates(spark):
-    rows = [(i, prose(i, 3 + i * (1 + i % 7) % 41), None, ["a", "b", "c", None][min(3, i % 7)]) for i in range(700)] + [(None, None, None, "zz")]
+    rows = [(i, prose(i, 3 + i * (1 + i % 7) % 41 + i % 7), None, ["a", "b", "c", None][min(3, i % 7)]) for i in range(700)] + [(None, None, None, "zz")]
     got = mixing.mix_sizes(documents(spark, rows)).collect()
     assert len(got) == len(rows)
     sizes = collections.Counter()
