@@ -4,10 +4,9 @@ Two texts link when the Jaccard similarity of their sets of word shingles reache
 threshold (``num / den``, compared in integers). The result is exact; the steps are:
 
 1. Tokens. Sets of similar size share a scheme that splits the shingle space into parts. A
-   part's content, hashed, is a token. Sets that differ in at most ``t`` shingles agree on at
-   least one of the first ``t + 1`` non-empty parts of either, so only those are tokens. A
-   token stands for about ten shingles, so a passage that many texts share gives no common
-   token to texts that otherwise differ. Tokens of a single text are dropped.
+   part's content, hashed, is a token. Sets that differ in at most ``t`` shingles agree on all
+   but ``t`` of the non-empty parts of either, which bounds their overlap in tokens from below.
+   Tokens of a single text are dropped, and then texts with fewer tokens left than the bound.
 2. Groups. Every distinct set goes to the group of its smallest live token, and groups that
    share a token move to the smallest of theirs, so similar texts mostly meet; groups of more
    than ``GROUP_SHINGLES`` shingles are split into blocks. Each group is joined by itself: the
@@ -103,11 +102,13 @@ class Schemes:
             self.cuts[parts] = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
         return self.cuts[parts]
 
-    def tokens(self, s: np.ndarray) -> np.ndarray:
+    def tokens(self, s: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """Tokens of both schemes of a set, the scheme's parity in the lowest bit, and for each
+        parity how many of them any linked set shares at least."""
         size = len(s)
         level, largest = self.level(size), size * self.den // self.num
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(s ^ np.uint64(0x5851F42D4C957F2D)))))
-        out = []
+        out, least = [], [1, 1]
         for j in (level, level + 1):
             while len(self.ends) <= j:
                 self.level(self.ends[-1] + 1)
@@ -120,36 +121,41 @@ class Schemes:
             apart = self.most_apart(size, min(end, largest))
             index = np.arange(parts, dtype=np.uint64)
             token = mix(content + mix(index + np.uint64(j << 32) + np.uint64(1)))
+            token = (token & ~np.uint64(1)) | np.uint64(j & 1)
             if filled.sum() > apart:
-                out.append(token[filled][: apart + 1])
+                out.append(token[filled])
+                least[j & 1] = int(filled.sum()) - apart
             else:  # too few non-empty parts to be sure of a common one: empty parts count too
                 out.append(token)
-        return np.unique(np.concatenate(out))
+        return np.unique(np.concatenate(out)), least
 
 
 def features(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """``(doc_id, row_key, n_shingles, node, tokens)`` for every row."""
+    """``(doc_id, row_key, n_shingles, node, tokens, least)`` for every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row_key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, schemes = Shingler(words), Schemes(num, den)
         for batch in batches:
-            sizes, nodes, tokens = [], [], []
+            sizes, nodes, tokens, least = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text)
                 sizes.append(len(s))
                 if len(s):
                     nodes.append(int(mix(np.sum(mix(s + np.uint64(len(s))), dtype=np.uint64, keepdims=True)).view(np.int64)[0]))
-                    tokens.append(schemes.tokens(s).view(np.int64))
+                    own, shared = schemes.tokens(s)
+                    tokens.append(own.view(np.int64))
+                    least.append(shared)
                 else:
                     nodes.append(None)
                     tokens.append(np.empty(0, np.int64))
+                    least.append([1, 1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row_key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))],
-                names=["doc_id", "row_key", "n_shingles", "node", "tokens"],
+                [batch.column("doc_id"), batch.column("row_key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(least, pa.list_(pa.int64()))],
+                names=["doc_id", "row_key", "n_shingles", "node", "tokens", "least"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, row_key long, n_shingles long, node long, tokens array<long>")
+    return rows.mapInArrow(run, "doc_id long, row_key long, n_shingles long, node long, tokens array<long>, least array<long>")
 
 
 def _shingle_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -352,13 +358,23 @@ def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs``."""
     rows = features(docs, words, num, den)
     tokens = rows.filter("n_shingles > 0").select("node", F.explode("tokens").alias("token")).repartition("token")
-    live = tokens.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("token")
-    live = cut(tokens.join(live, "token").distinct())
-    del tokens
+    shared = tokens.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("token")
+    ids = cut(rows.select("doc_id", "row_key", "n_shingles", "node", "least"))
+    nodes = ids.filter("node IS NOT NULL").groupBy("node").agg(
+        F.max("n_shingles").alias("n"), F.min(F.struct("doc_id", "row_key")).alias("row"), F.max("least").alias("least")
+    )
+    live = cut(tokens.join(shared, "token").groupBy("node").agg(F.collect_set("token").alias("tokens")))
+    del tokens, shared
     release_shuffles(docs.sparkSession)
+    # A text with fewer live tokens than any linked text would share has no link.
+    enough = live.join(nodes.select("node", "least"), "node")
+    for parity in (0, 1):
+        own = F.filter("tokens", lambda t: F.pmod(t, F.lit(2)) == parity)  # noqa: B023
+        enough = enough.withColumn(f"t{parity}", F.when(F.size(own) >= F.col("least")[parity], own).otherwise(F.array().cast("array<long>")))
+    live = cut(enough.select("node", F.explode(F.concat("t0", "t1")).alias("token")))
+    again = live.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("token")
+    live = cut(live.join(again, "token").select("token", "node"))
 
-    ids = cut(rows.select("doc_id", "row_key", "n_shingles", "node"))
-    nodes = ids.filter("node IS NOT NULL").groupBy("node").agg(F.max("n_shingles").alias("n"), F.min(F.struct("doc_id", "row_key")).alias("row"))
     smallest = live.groupBy("node").agg(F.min("token").alias("home"))
     shared = live.join(smallest, "node").groupBy("token").agg(F.min("home").alias("home"))
     home = live.join(shared, "token").groupBy("node").agg(F.min("home").alias("token"))
