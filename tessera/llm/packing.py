@@ -17,11 +17,15 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +35,7 @@ CAPACITY = 2048
 END_ID = 1
 SHARD_PIECES = 8192
 CACHE_WORDS = 300_000
+CHUNK_BYTES = 8 << 20
 
 
 def _take(capacity: int, counts: dict[int, int]) -> list[int]:
@@ -76,35 +81,133 @@ def minimum_bin_slack(lengths: list[int], capacity: int = CAPACITY) -> list[list
     return out
 
 
+class WordIds:
+    """Token ids of words that hold no blank, tab or line end.
+
+    Where the vocabulary lowers the text and then cuts it by a pattern, words of plain Latin
+    characters are lowered and cut here, all at once, and each distinct cut goes to the merge
+    model once. All other words go through the whole tokenizer.
+    """
+
+    #: Printable characters below U+0180: composed already, each with one lower-case character
+    #: (U+0130 has two and is left out), and no white space.
+    PLAIN = r"^[\x21-\x7e\x{a1}-\x{ac}\x{ae}-\x{12f}\x{131}-\x{17f}]+$"
+
+    def __init__(self, vocabulary: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.model = self.tokenizer.model
+        self.words: dict[str, bytes] = {"": b""}
+        self.cuts: dict[str, bytes] = {"": b""}
+        self.pattern = cut_pattern(self.tokenizer)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_form = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xA1, 0x180)}
+
+    def of_cuts(self, cuts: list[str]) -> list[bytes]:
+        known, tokenize, form = self.cuts, self.model.tokenize, self.byte_form
+        if len(known) > CACHE_WORDS:
+            known = self.cuts = {"": b""}
+        for x in cuts:
+            if x not in known:
+                ids = [t.id for t in tokenize(x if x.isascii() else x.translate(form))]
+                known[x] = struct.pack(f"<{len(ids)}I", *ids)
+        return [known[x] for x in cuts]
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        known = self.words
+        if len(known) > CACHE_WORDS:
+            known = self.words = {"": b""}
+        new = [w for w in words if w not in known]
+        for word, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+            known[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        return [known[w] for w in words]
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct ``words`` in a row, and where each word's begin (and the last end)."""
+        plain = np.zeros(len(words), bool)
+        if self.pattern:
+            plain = pc.match_substring_regex(words, self.PLAIN)
+            for text in self.added:
+                plain = pc.and_not(plain, pc.match_substring(words, text, ignore_case=True))
+            plain = plain.to_numpy(zero_copy_only=False)
+        marked = pc.replace_substring_regex(pc.utf8_lower(words.filter(pa.array(plain))), f"({self.pattern or '.'})", r"\1 ")
+        lists = pc.split_pattern(marked, " ")
+        pieces = lists.flatten().dictionary_encode()
+        one, reach = gather(*joined(self.of_cuts(pieces.dictionary.to_pylist())), pieces.indices.to_numpy())
+        one_at = reach[np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy())))]
+        two, two_at = joined(self.of_words(words.filter(pa.array(~plain)).to_pylist()))
+        # Both kinds in one table, and from there in the order of the words.
+        table, at = np.concatenate((one, two)), np.concatenate((one_at, one_at[-1] + two_at[1:]))
+        place = np.empty(len(words), np.int64)
+        place[plain] = np.arange(plain.sum())
+        place[~plain] = np.arange(plain.sum(), len(words))
+        return gather(table, at, place)
+
+
+def cut_pattern(tokenizer) -> str | None:
+    """The pattern whose matches are encoded one by one, if the steps before the model are
+    NFC, blanks, lower case, a split that keeps the matches alone, and the byte alphabet."""
+    steps = json.loads(tokenizer.to_str())
+    before = [(x["type"], x.get("content")) for x in (steps["normalizer"] or {}).get("normalizers", [])]
+    split = (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if before != [("NFC", None), ("Replace", " "), ("Lowercase", None)] or [x["type"] for x in split] != ["Split", "ByteLevel"]:
+        return None
+    if split[0]["behavior"] != "Removed" or not split[0]["invert"] or split[1]["add_prefix_space"] or split[1]["use_regex"]:
+        return None
+    return split[0]["pattern"].get("Regex")
+
+
+def joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all parts in a row, and where each part begins (and the last ends)."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    return np.frombuffer(b"".join(parts), "<u4"), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def gather(table: np.ndarray, at: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``table[at[i]:at[i + 1]]`` for each ``i`` of ``index`` in a row, and their places."""
+    taken = np.diff(at)[index]
+    reach = np.concatenate(([0], np.cumsum(taken)))
+    return table[np.repeat(at[:-1][index] - reach[:-1], taken) + np.arange(reach[-1])], reach
+
+
+def document_ids(texts: pa.Array, word_ids: WordIds, end_id: int) -> Iterator[np.ndarray]:
+    """Token ids of each text, ``CHUNK_BYTES`` of text (or one text) at a time: the distinct words
+    of a chunk are encoded once and their ids gathered by position."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    starts = np.flatnonzero(np.diff(ends // CHUNK_BYTES, prepend=-1)) if len(texts) else []
+    for at, to in zip(starts, [*starts[1:], len(texts)]):
+        part = pc.fill_null(texts.slice(at, to - at), "")
+        for blank in "\n\t\r":
+            part = pc.replace_substring(part, blank, " ")
+        lists = pc.split_pattern(part, " ")
+        words = lists.flatten().dictionary_encode()
+        flat, reach = gather(*word_ids(words.dictionary), words.indices.to_numpy())
+        bounds = reach[np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy())))]
+        for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            yield np.append(flat[start:stop], np.uint32(end_id))
+
+
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """``(doc_id, start, length, ids_crc32, doc_tokens)``: full windows and one remainder a document.
 
     The vocabulary's splitting never joins characters across a blank or line end, so words
-    between those are encoded once a task and looked up afterwards (at most ``CACHE_WORDS``).
+    between those are encoded once a task and looked up afterwards (``CACHE_WORDS`` and those
+    of one chunk at most).
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(vocabulary)
-        known: dict[str, bytes] = {"": b""}
-        end = end_id.to_bytes(4, "little")
+        word_ids = WordIds(vocabulary)
         for batch in batches:
             ids, rows = batch.column("doc_id"), ([], [], [], [], [])
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-                if len(known) > CACHE_WORDS:
-                    known = {"": b""}
-                new = [w for w in set(words) if w not in known]
-                for word, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-                    known[word] = b"".join([i.to_bytes(4, "little") for i in e.ids])
-                body = b"".join([known[w] for w in words]) + end
-                total = len(body) // 4
+            for k, body in enumerate(document_ids(batch.column("text").cast(pa.large_string()), word_ids, end_id)):
+                total = len(body)
                 for start in range(0, total, capacity):
-                    part = body[4 * start : 4 * (start + capacity)]
-                    for column, value in zip(rows, (k, start, len(part) // 4, zlib.crc32(part), total)):
+                    part = body[start : start + capacity]
+                    for column, value in zip(rows, (k, start, len(part), zlib.crc32(part), total)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(rows[0], pa.int64())), *[pa.array(c, pa.int64()) for c in rows[1:]]],

@@ -363,3 +363,21 @@ def test_similarity_components(spark, words, num, size):
         want.append((str(doc), len(sets[i]), str(min(ids, default=None))))
     got = ngram_join.link_components(documents(spark, rows), words, num, 100, size).collect()
     assert sorted((str(x.doc_id), x.n_shingles, str(x.component_id)) for x in got) == sorted(want)
+
+
+def test_document_ids_equal_the_tokenizer():
+    import random
+
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, rng = Tokenizer.from_file(vocabulary), random.Random(3)
+    assert packing.cut_pattern(tokenizer)
+    alphabet = "aAbBsSdDtTmMlLvVeErR'’.,!?-0159 \n\t\r<|>&#éÉßÜñŒİıŸ²½ªº¡«×ΣςΩд漢かé́ĳŉǅſ\x85\xa0\xad　\x1c\x00​😀"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(500)]
+    texts += [f"x{chr(c)}Y" for c in range(0x800)] + ["a<|endoftext|>b", "<|ENDOFTEXT|> x", "", None, "word " * 3000]
+    found = packing.document_ids(pa.array(texts, pa.large_string()), packing.WordIds(vocabulary), 1)
+    for text, ids in zip(texts, found, strict=True):
+        assert ids.tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
