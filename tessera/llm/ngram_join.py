@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, release_shuffles, same
@@ -357,13 +357,15 @@ def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
 def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs``."""
     rows = features(docs, words, num, den)
-    tokens = rows.filter("n_shingles > 0").select("node", F.explode("tokens").alias("token")).repartition("token")
-    shared = tokens.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("token")
+    tokens = rows.filter("n_shingles > 0").select("node", F.explode("tokens").alias("token"))
+    # One sort finds the tokens of several texts; nearly all others go before the next shuffle.
+    of_token = Window.partitionBy("token")
+    shared = tokens.withColumns({"lo": F.min("node").over(of_token), "hi": F.max("node").over(of_token)}).filter("lo < hi")
     ids = cut(rows.select("doc_id", "row_key", "n_shingles", "node", "least"))
     nodes = ids.filter("node IS NOT NULL").groupBy("node").agg(
         F.max("n_shingles").alias("n"), F.min(F.struct("doc_id", "row_key")).alias("row"), F.max("least").alias("least")
     )
-    live = cut(tokens.join(shared, "token").groupBy("node").agg(F.collect_set("token").alias("tokens")))
+    live = cut(shared.groupBy("node").agg(F.collect_set("token").alias("tokens")))
     del tokens, shared
     release_shuffles(docs.sparkSession)
     # A text with fewer live tokens than any linked text would share has no link.
