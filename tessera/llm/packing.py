@@ -35,7 +35,7 @@ CAPACITY = 2048
 END_ID = 1
 SHARD_PIECES = 8192
 CACHE_WORDS = 300_000
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def _take(capacity: int, counts: dict[int, int]) -> list[int]:
