@@ -31,7 +31,7 @@ def scale_settings(
       sort-merge joins spill rather than fail on large partitions.
     * Aggregation shuffles are small after map-side combine; AQE coalesces
       their partitions toward 256 MB and splits skewed join partitions above
-      1 GB.
+      512 MB.
     """
     partitions = min(max_shuffle_partitions, max(200, -(-int(input_bytes) // reducer_bytes)))
     return {
@@ -39,7 +39,7 @@ def scale_settings(
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
     }
 
 
