@@ -54,8 +54,3 @@ CLUSTER_REPORT_FORMAT = "%7d  %-17s (%-5.1f%%)      %7d"
 # Tunable defaults (not fixed by the original programs)
 # ---------------------------------------------------------------------------
 
-# Vocabularies up to this many terms are matched with an inline literal
-# array; larger ones go through a join against a vocabulary table.
-INLINE_VOCABULARY_LIMIT = 1024
-# A vocabulary table is broadcast only while its estimated size stays below this.
-VOCABULARY_BROADCAST_BYTES = 64 * 1024 * 1024

@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import check_vocabulary, term_position
+from ..functions.text import check_vocabulary, term_position, vocabulary_array
 from ..schemas import POSTING_COLUMNS
 
 QUESTION = 1
@@ -80,7 +80,8 @@ def scored_postings(postings: DataFrame, strict: bool = False) -> DataFrame:
     """Each answered question with ``high_score`` = max(0, best answer score).
 
     Columns: the question's posting fields, then ``high_score``. If several
-    questions share an id, the smallest posting row is kept.
+    questions share an id, the row with the smallest tag (null first) is kept,
+    then the smallest in the other fields.
 
     One aggregation keyed by question id replaces the join: question rows
     contribute their posting (as a struct) and answer rows their score, so
@@ -95,7 +96,7 @@ def scored_postings(postings: DataFrame, strict: bool = False) -> DataFrame:
     parent = F.col("parent_id")
     if strict:
         parent = F.coalesce(parent, F.raise_error(F.lit("answer posting without a parent id")))
-    others = [c for c in POSTING_COLUMNS if c != "id"]
+    others = ["tags", *[c for c in POSTING_COLUMNS if c not in ("id", "tags")]]
     keyed = postings.select(
         F.when(is_question, F.col("id")).when(is_answer, parent).alias("qid"),
         F.when(is_question, F.struct(*others)).alias("q"),
@@ -126,6 +127,16 @@ def vector_postings(scored: DataFrame, langs: Sequence[str], spread: int) -> Dat
     )
 
 
+def tag_code(tags: str, terms: Sequence[str]) -> Column:
+    """A number that orders tags as their strings do, as far as ``terms`` can tell.
+
+    Twice the number of smaller terms, plus one if the tag is a term: odd for
+    known tags, even for unknown ones, 0 for null.
+    """
+    smaller = F.size(F.filter(vocabulary_array(terms), lambda t: t < F.col(tags)))
+    return F.coalesce(F.when(F.col(tags).isNotNull(), smaller * 2 + (term_position(tags, terms) > 0).cast("int")), F.lit(0))
+
+
 def question_vectors(postings: DataFrame, langs: Sequence[str], spread: int, strict: bool = False) -> DataFrame:
     """``vector_postings(scored_postings(postings), langs, spread)`` in one pass.
 
@@ -135,8 +146,8 @@ def question_vectors(postings: DataFrame, langs: Sequence[str], spread: int, str
     to ``(question id, tag position if a question, score if an answer)`` and
     one hash aggregation on the question id combines both kinds of rows: a
     single scan, a single shuffle of partial aggregates, no join. A question
-    id with several question rows uses the one whose tag comes first in the
-    vocabulary (unknown tags first).
+    id with several question rows uses the one with the smallest tag, as in
+    ``scored_postings``: tags are compared by :func:`tag_code`.
     """
     terms = check_vocabulary(langs)
     if spread <= 0:
@@ -152,20 +163,22 @@ def question_vectors(postings: DataFrame, langs: Sequence[str], spread: int, str
     # and is dropped by the final filter.
     keyed = postings.select(
         F.when(is_question, F.col("id")).when(is_answer, parent).alias("qid"),
-        F.when(is_question, F.coalesce(term_position("tags", terms), F.lit(0))).alias("tag_pos"),
+        F.when(is_question, tag_code("tags", terms)).alias("code"),
         F.when(is_answer, F.col("score")).alias("answer_score"),
     )
     per_question = keyed.groupBy("qid").agg(
-        F.min("tag_pos").alias("tag_pos"),
+        F.min("code").alias("code"),
         F.max("answer_score").alias("best"),
     )
-    # A question must exist with a known tag (null tags count as unknown, 0)
-    # and have at least one answer (best not null). The null-key group has no
+    # A question must exist with a known tag (an odd code) and have at least
+    # one answer (best not null). The null-key group has no
     # question, so it fails the first test; testing the key itself would be
     # pushed through the aggregation into the parser.
-    known = (F.col("tag_pos") > 0) & F.col("best").isNotNull()
+    known = (F.col("code") % 2 == 1) & F.col("best").isNotNull()
+    in_order = sorted(range(len(terms)), key=lambda i: terms[i].encode("utf-8"))
+    place = F.get(F.expr(f"array({', '.join(map(str, in_order))})"), F.shiftright("code", 1))
     return per_question.where(known).select(
-        ((F.col("tag_pos") - 1) * spread).cast("int").alias("x"),
+        (place * spread).cast("int").alias("x"),
         F.greatest(F.col("best"), F.lit(0)).cast("int").alias("y"),
     )
 

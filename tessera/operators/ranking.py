@@ -18,27 +18,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..constants import INLINE_VOCABULARY_LIMIT, VOCABULARY_BROADCAST_BYTES
-from ..functions.text import check_vocabulary, mentioned_terms, mentions, term_position, tokens
+from ..functions.text import check_vocabulary, mentioned_terms, mentions, term_position
 from ..session import literal_frame
 
 
 TERM = StructType([StructField("lang", StringType())])
-TERM_POSITION = StructType([StructField("lang", StringType()), StructField("pos", LongType())])
 
 
-def vocabulary_table(spark: SparkSession, terms: Sequence[str], positions: bool = False) -> DataFrame:
-    """``(lang)`` or ``(lang, pos)`` with 1-based positions: a plan literal up to
-    ``INLINE_VOCABULARY_LIMIT`` terms, a parallelized table beyond."""
-    schema = TERM_POSITION if positions else TERM
-    rows = [(t, i) for i, t in enumerate(terms, 1)] if positions else [(t,) for t in terms]
-    if len(terms) <= INLINE_VOCABULARY_LIMIT:
-        return literal_frame(spark, rows, schema)
-    return spark.createDataFrame(rows, schema)
+def vocabulary_table(spark: SparkSession, terms: Sequence[str]) -> DataFrame:
+    """``(lang)``, one row per term, as a plan literal."""
+    return literal_frame(spark, [(t,) for t in terms], TERM)
 
 
 def mentions_filter(articles: DataFrame, lang: str) -> DataFrame:
@@ -56,21 +49,11 @@ def language_article_pairs(articles: DataFrame, langs: Sequence[str], keep: Sequ
     """One row per (term, article) where the article mentions the term.
 
     An article repeating a term still yields one pair. Columns: ``lang`` then
-    ``keep``. Up to ``INLINE_VOCABULARY_LIMIT`` terms the match is a narrow
-    projection against a literal array; a larger vocabulary becomes a table
-    that is semi-joined with each article's distinct tokens (broadcast only
-    while its size estimate stays under ``VOCABULARY_BROADCAST_BYTES``).
+    ``keep``. The match is a narrow projection against the vocabulary as a
+    literal array, a parameter of the query, whatever its length.
     """
     terms = check_vocabulary(langs)
-    keep = list(keep)
-    if len(terms) <= INLINE_VOCABULARY_LIMIT:
-        return articles.select(F.explode(mentioned_terms("text", terms)).alias("lang"), *keep)
-    spark = articles.sparkSession
-    vocab = vocabulary_table(spark, terms)
-    if sum(len(t.encode("utf-8")) + 32 for t in terms) <= VOCABULARY_BROADCAST_BYTES:
-        vocab = F.broadcast(vocab)
-    distinct_tokens = articles.select(F.explode(F.array_distinct(tokens("text"))).alias("lang"), *keep)
-    return distinct_tokens.join(vocab, "lang", "left_semi")
+    return articles.select(F.explode(mentioned_terms("text", terms)).alias("lang"), *keep)
 
 
 def make_index(articles: DataFrame, langs: Sequence[str]) -> DataFrame:
@@ -116,11 +99,4 @@ def order_ranking(counts: DataFrame, langs: Sequence[str] | None) -> DataFrame:
     """Sort ``(lang, n)`` by count descending, ties in reverse vocabulary order."""
     if langs is None:
         return counts.orderBy(F.desc("n"), F.desc("lang")).select("lang", "n")
-    terms = list(langs)
-    if len(terms) <= INLINE_VOCABULARY_LIMIT:
-        position: Column = term_position("lang", terms)
-        return counts.orderBy(F.desc("n"), F.desc(position)).select("lang", "n")
-    spark = counts.sparkSession
-    positions = vocabulary_table(spark, terms, positions=True)
-    ranked = counts.join(positions, "lang", "left")
-    return ranked.orderBy(F.desc("n"), F.desc("pos")).select("lang", "n")
+    return counts.orderBy(F.desc("n"), F.desc(term_position("lang", list(langs)))).select("lang", "n")

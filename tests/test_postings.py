@@ -93,3 +93,18 @@ def test_ids_beyond_32_bit_parse_and_join(spark):
     lines = spark.createDataFrame([("1,3000000000,,,0,java",), ("2,3000000001,,3000000000,4",)], "value string")
     rows = question_answer_join(parse_postings(lines)).collect()
     assert [(r.q_id, r.a_id) for r in rows] == [(3000000000, 3000000001)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_both_ways_to_the_vectors_agree_on_repeated_ids(spark, seed):
+    import random
+
+    r = random.Random(seed)
+    rows = [(1, i, None, None, r.randrange(9), r.choice(["java", "sql", "zzz", "kotlin", None])) for i in range(6) for _ in range(3)]
+    rows += [(2, 100 + k, None, r.randrange(6), r.randrange(-3, 9), None) for k in range(8)]
+    rows += [(1, 7, None, None, 0, "java"), (1, 7, None, None, 0, "zzz"), (2, 200, None, 7, 3, None)]
+    p = spark.createDataFrame(rows, "posting_type int, id long, accepted_answer long, parent_id long, score int, tags string")
+    for langs in (["sql", "java"], ["zzz", "kotlin", "java"]):
+        two_step = sorted(tuple(v) for v in vector_postings(scored_postings(p), langs, 10).collect())
+        assert sorted(tuple(v) for v in question_vectors(p, langs, 10).collect()) == two_step
+    assert (0, 3) in [tuple(v) for v in question_vectors(p, ["java"], 10).collect()]

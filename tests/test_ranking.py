@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import pytest
 
-from tessera.operators import ranking
 from tessera.operators.ranking import (
     language_article_pairs,
     make_index,
@@ -119,13 +118,14 @@ def test_suite_top_term_via_index_and_reduce(spark):
     assert ranked(rank_langs_reduce(df, langs))[0] == ("Java", 3)
 
 
-def test_large_vocabulary_path_matches_inline_path(c1, monkeypatch):
-    inline = sorted(tuple(r) for r in language_article_pairs(c1, VOCAB).collect())
-    inline_rank = ranked(rank_langs(c1, VOCAB))
-    monkeypatch.setattr(ranking, "INLINE_VOCABULARY_LIMIT", 2)
-    joined = sorted(tuple(r) for r in language_article_pairs(c1, VOCAB).collect())
-    assert joined == inline
-    assert ranked(rank_langs(c1, VOCAB)) == inline_rank
+def test_large_vocabulary(c1):
+    many = [*VOCAB, *(f"absent-{i}" for i in range(3000))]
+    small = sorted(tuple(r) for r in language_article_pairs(c1, VOCAB).collect())
+    assert sorted(tuple(r) for r in language_article_pairs(c1, many).collect()) == small
+    assert ranked(rank_langs_reduce(c1, many)) == ranked(rank_langs_reduce(c1, VOCAB))
+    counts = ranked(rank_langs(c1, many))
+    assert len(counts) == len(many)
+    assert [p for p in counts if p[0] in VOCAB] == ranked(rank_langs(c1, VOCAB))
 
 
 def test_three_rankings_agree_on_supplied_data(spark):
