@@ -44,6 +44,21 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def release_memory() -> None:
+    """Give a Python worker's freed memory back at the end of a task: the worker stays for the next.
+
+    Call it after the last use of large arrays, inside the task.
+    """
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """``crc32`` of the id's decimal text, modulo ``divisor``; -1 for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % divisor, F.lit(-1))

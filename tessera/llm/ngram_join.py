@@ -9,7 +9,8 @@ threshold (``num / den``, compared in integers). The result is exact; the steps
    Tokens of a single text are dropped, and then texts with fewer tokens left than the bound.
 2. Groups. Every distinct set goes to the group of its smallest live token, and groups that
    share a token move to the smallest of theirs, so similar texts mostly meet; groups of more
-   than ``GROUP_SHINGLES`` shingles are split into blocks. Each group is joined by itself: the
+   than ``GROUP_SHINGLES`` shingles or ``GROUP_MEMBERS`` sets are split into blocks, which
+   bounds a task's matrices. Each group is joined by itself: the
    shingles that several members hold form a 0/1 matrix, and its product with itself, in
    tiles, gives all overlaps.
 3. Matrix. Each group's token union is stored as (token, group) pairs. First one member a
@@ -36,10 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, release_shuffles, same
+from .common import cut, release_memory, release_shuffles, same
 
 GROUP_SHINGLES = 2_000_000
+GROUP_MEMBERS = 8192
 TILE = 512
+SLICE = 32
+BATCH = 500
 COLUMNS = 1024
 CACHE_WORDS = 200_000
 
@@ -130,13 +134,20 @@ class Schemes:
         return np.unique(np.concatenate(out)), least
 
 
+def in_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``BATCH`` rows at a time: the shingles of a batch take more memory than its texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH):
+            yield batch.slice(at, BATCH)
+
+
 def features(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """``(doc_id, row_key, n_shingles, node, tokens, least)`` for every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row_key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, schemes = Shingler(words), Schemes(num, den)
-        for batch in batches:
+        for batch in in_slices(batches):
             sizes, nodes, tokens, least = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text)
@@ -154,6 +165,7 @@ def features(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
                 [batch.column("doc_id"), batch.column("row_key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(least, pa.list_(pa.int64()))],
                 names=["doc_id", "row_key", "n_shingles", "node", "tokens", "least"],
             )
+        release_memory()
 
     return rows.mapInArrow(run, "doc_id long, row_key long, n_shingles long, node long, tokens array<long>, least array<long>")
 
@@ -163,12 +175,11 @@ def _shingle_sets(texts: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, names = Shingler(words), ["node", "token", "block"]
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 200):  # small batches: a set may be larger than its text
-                sets = [shingles(t).view(np.int64) for t in texts[at : at + 200]]
-                columns = [batch.column(n).slice(at, 200) for n in names]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.list_(pa.int64()))], names=[*names, "shingles"])
+        for batch in in_slices(batches):
+            sets = [shingles(t).view(np.int64) for t in batch.column("text").to_pylist()]
+            columns = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.list_(pa.int64()))], names=[*names, "shingles"])
+        release_memory()
 
     return texts.mapInArrow(run, "node long, token long, block long, shingles array<long>")
 
@@ -187,8 +198,8 @@ class Members:
         self.sizes = np.array([len(s) for s in sets], np.int64)
         values, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         kept = counts >= least
-        column = np.where(kept, np.cumsum(kept) - 1, -1)[inverse]
-        row = np.repeat(np.arange(len(sets)), self.sizes)
+        column = np.where(kept, np.cumsum(kept) - 1, -1).astype(np.int32)[inverse]
+        row = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)
         self.values = values[kept]
         self.row, self.column = _by_column(row[column >= 0], column[column >= 0])
 
@@ -204,11 +215,14 @@ class Members:
             a[row[theirs], column[theirs] - at] = 1
             b[self.row[ours], self.column[ours] - at] = 1
             out += a @ b.T
-        return out.astype(np.int64)
+        return out
 
     def links(self, row: np.ndarray, column: np.ndarray, sizes: np.ndarray, num: int, den: int) -> np.ndarray:
-        common = self.overlaps(row, column, len(sizes))
-        return common * den >= (sizes[:, None] + self.sizes[None, :] - common) * num
+        common, good = self.overlaps(row, column, len(sizes)), np.empty((len(sizes), len(self.sizes)), bool)
+        for at in range(0, len(sizes), SLICE):  # whole numbers, in slices: a whole tile of them takes four times the counts
+            whole = common[at : at + SLICE].astype(np.int64)
+            good[at : at + SLICE] = whole * den >= (sizes[at : at + SLICE, None] + self.sizes[None, :] - whole) * num
+        return good
 
     def links_of(self, sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
         """Which of ``sets`` link with which members."""
@@ -273,6 +287,7 @@ def _local_labels(sets: DataFrame, num: int, den: int) -> DataFrame:
             nodes = [r["node"] for r in group]
             labels = join_members(nodes, [r["shingles"] for r in group], num, den) if len(group) > 1 else nodes
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(labels, pa.int64())], names=["node", "label"])
+        release_memory()
 
     return _contiguous(sets, ["token", "block"], "node").mapInArrow(run, "node long, label long")
 
@@ -310,6 +325,8 @@ def _opened_links(cells: DataFrame, num: int, den: int) -> DataFrame:
                 if len(asked) == TILE:
                     yield answers()
         yield answers()
+        members, sets = None, []
+        release_memory()
 
     return _contiguous(cells, ["token", "block"], "query").mapInArrow(run, "a long, b long")
 
@@ -354,7 +371,7 @@ def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     return cut(joined.select("node", F.coalesce("m_label", "label").alias("label")))
 
 
-def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
+def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, group_shingles: int = GROUP_SHINGLES, group_members: int = GROUP_MEMBERS) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs``."""
     rows = features(docs, words, num, den)
     tokens = rows.filter("n_shingles > 0").select("node", F.explode("tokens").alias("token"))
@@ -381,7 +398,7 @@ def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
     shared = live.join(smallest, "node").groupBy("token").agg(F.min("home").alias("home"))
     home = live.join(shared, "token").groupBy("node").agg(F.min("home").alias("token"))
     home = cut(home.join(nodes, "node"))
-    sizes = home.groupBy("token").agg(F.ceil(F.sum("n") / F.lit(group_shingles)).alias("blocks"))
+    sizes = home.groupBy("token").agg(F.ceil(F.greatest(F.sum("n") / F.lit(group_shingles), F.count("*") / F.lit(group_members))).alias("blocks"))
     chosen = cut(
         home.join(sizes, "token").select("node", "token", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long").alias("block"), F.col("row.row_key").alias("row_key"))
     )

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, release_memory
 
 CAPACITY = 2048
 END_ID = 1
@@ -213,6 +213,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
                 [ids.take(pa.array(rows[0], pa.int64())), *[pa.array(c, pa.int64()) for c in rows[1:]]],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
             )
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(pieces, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long")
 
