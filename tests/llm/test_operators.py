@@ -334,8 +334,8 @@ def test_packing(spark):
         assert at <= 2048
 
 
-@pytest.mark.parametrize(("words", "num", "size"), [(3, 90, 2_000_000), (3, 90, 400), (5, 80, 400)])
-def test_similarity_components(spark, words, num, size):
+@pytest.mark.parametrize(("words", "num", "size", "members"), [(3, 90, 2_000_000, 8192), (3, 90, 400, 8192), (5, 80, 400, 8192), (5, 80, 2_000_000, 3)])
+def test_similarity_components(spark, words, num, size, members):
     r = random.Random(8)
     rows = [(1, None), (2, ""), (3, "one two"), (4, "ONE  two"), (5, "one two three four"), (None, "one two"), (6, prose(1, 120)), (6, prose(1, 120))]
     for base in range(12):
@@ -361,7 +361,7 @@ def test_similarity_components(spark, words, num, size):
     for i, (doc, _) in enumerate(rows):
         ids = [rows[k][0] for k in range(len(rows)) if label[k] == label[i] and rows[k][0] is not None]
         want.append((str(doc), len(sets[i]), str(min(ids, default=None))))
-    got = ngram_join.link_components(documents(spark, rows), words, num, 100, size).collect()
+    got = ngram_join.link_components(documents(spark, rows), words, num, 100, size, members).collect()
     assert sorted((str(x.doc_id), x.n_shingles, str(x.component_id)) for x in got) == sorted(want)
 
 
