@@ -3,12 +3,17 @@
 The base spans are e-mail addresses, IP addresses, card numbers (12 to 19 digits that pass
 the Luhn check) and phone numbers. Around them the method is information-theoretic: over the
 whole corpus it counts how often a term stands within ``NEAR_TERMS`` terms of a protected
-value and how often it occurs at all. With the information of a value
-``I(e) = log2(N / n(e))`` and what is left of it once a term is known,
-``I(e|t) = log2(n(t) / n(e, t))``, a term discloses the share ``1 - I(e|t) / I(e)``. Terms that
-disclose ``DISCLOSED`` or more, seen with the value in at least ``LEAST_TEXTS`` different texts,
-become spans of kind ``term``: removed if nothing is left, else generalised. Base spans always
-stay; terms that overlap one are not added.
+value and how often it occurs at all. The same is counted for the value's parts (local name
+and domain, network, issuer, number range) and for its kind. With the information of a value
+or part ``I(e) = log2(N / n(e))`` and what is left of it once a term is known,
+``I(e|t) = -log2 p(e|t)``, a term discloses the share ``1 - I(e|t) / I(e)``. There is no least
+number of texts: ``p(e|t) = (n(e, t) + PRIOR q) / (n(t) + PRIOR)`` is smoothed toward
+``q = p(kind|t) n(e) / n(kind)``, what the kind alone says, with ``p(kind|t)`` smoothed the
+same way toward ``n(kind) / N``. So values of one text count too, and a term seen once near a
+value discloses a little less than one seen with it more often. Terms that disclose
+``DISCLOSED`` or more of a value or of a part become spans of kind ``term``: removed if they
+never occur elsewhere, else generalised. Base spans always stay; terms that overlap one are
+not added.
 
 Patterns are written so that Java's engine takes time in proportion to the text: possessive
 repeats, and starts only where a run of the first characters starts. They match what the
@@ -44,7 +49,7 @@ TERM = r"\p{L}{3,}"
 WINDOW = 64
 NEAR_TERMS = 4
 DISCLOSED = 0.9
-LEAST_TEXTS = 3
+PRIOR = 0.5
 
 _MATCH = "struct<s:bigint,e:bigint,v:string,l:string,r:string>"
 
@@ -125,28 +130,57 @@ def _near(mention: Column) -> Column:
     return F.concat(moved(before, mention["s"] - F.length(left)), moved(after, mention["e"]))
 
 
-def disclosing_terms(near: DataFrame, texts: DataFrame, disclosed: float = DISCLOSED, least_texts: int = LEAST_TEXTS) -> DataFrame:
-    """``(entity, term, action)`` for ``near(row_key, entity, term)`` and all ``texts(text)``."""
-    joint = near.groupBy("entity", "term", "row_key").agg(F.count(F.lit(1)).alias("n"))
-    joint = joint.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= least_texts)
-    mentions = near.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    terms = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("term"))
-    terms = cut(terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
-    total = terms.agg(F.sum("n_t")).first()[0] or 0
-    whole = F.log2(F.greatest(F.lit(float(total)) / F.col("n_e"), F.lit(2.0)))
-    left = F.log2(F.greatest(F.col("n_t") / F.col("n_et"), F.lit(1.0)))
-    found = joint.join(mentions, "entity").join(terms, "term").filter(1 - left / whole >= disclosed)
-    return found.select("entity", "term", F.when(left == 0, "remove").otherwise("generalise").alias("action"))
+def _entities(mention: Column) -> Column:
+    """The value, its parts and its kind, as ``(kind, entity, level)``; level 2 is the kind itself."""
+    kind, value = mention["k"], F.lower(mention["v"])
+    digits = _digits(value)
+    at = F.instr(value, "@")
+
+    def entity(level: int, name: str, of: Column) -> Column:
+        return F.struct(kind.alias("kind"), F.concat_ws(":", kind, F.lit(name), of).alias("entity"), F.lit(level).alias("level"))
+
+    plain = F.when(kind <= KINDS.index("ip"), value).otherwise(digits)
+    parts = (
+        F.when(kind == KINDS.index("email"), F.array(entity(1, "local", F.left(value, at - 1)), entity(1, "domain", F.substring(value, at + 1, F.length(value)))))
+        .when(kind == KINDS.index("ip"), F.array(entity(1, "net", F.substring_index(value, ".", 3))))
+        .when(kind == KINDS.index("card"), F.array(entity(1, "issuer", F.left(digits, F.lit(6)))))
+        .otherwise(F.array(entity(1, "range", F.left(digits, F.length(digits) - 4))))
+    )
+    return F.concat(F.array(entity(0, "value", plain), entity(2, "kind", F.lit(""))), parts)
+
+
+def disclosing_terms(near: DataFrame, texts: DataFrame, disclosed: float = DISCLOSED, prior: float = PRIOR) -> DataFrame:
+    """``(entity, term, action)`` for ``near(kind, entity, level, term)`` and all ``texts(text)``."""
+    joint = cut(near.groupBy("kind", "entity", "level", "term").agg(F.count(F.lit(1)).alias("n_et")))
+    mentions = joint.groupBy("kind", "entity", "level").agg(F.sum("n_et").alias("n_e"))
+    of_kind = mentions.filter("level = 2").select("kind", F.col("n_e").alias("n_k"))
+    of_kind_term = joint.filter("level = 2").select("kind", "term", F.col("n_et").alias("n_kt"))
+    terms = texts.select(F.explode(F.regexp_extract_all("text", F.lit(TERM), F.lit(0))).alias("term"))
+    terms = cut(terms.groupBy(F.lower("term").alias("term")).agg(F.count(F.lit(1)).alias("n_t")))
+    total = F.lit(float(terms.agg(F.sum("n_t")).first()[0] or 1))
+    found = joint.filter("level < 2").join(mentions.select("entity", "n_e"), "entity")
+    found = found.join(of_kind_term, ["kind", "term"]).join(of_kind, "kind").join(terms, "term")
+
+    def smoothed(n: Column, background: Column) -> Column:
+        return (n + prior * background) / (F.col("n_t") + prior)
+
+    by_kind = smoothed(F.col("n_kt"), F.least(F.col("n_k") / total, F.lit(1.0)))
+    left = -F.log2(smoothed(F.col("n_et"), F.least(by_kind * F.col("n_e") / F.col("n_k"), F.lit(1.0))))
+    whole = F.log2(F.greatest(total / F.col("n_e"), F.lit(2.0)))
+    found = found.filter(1 - left / whole >= disclosed)
+    return found.select("entity", "term", F.when(F.col("n_et") >= F.col("n_t"), "remove").otherwise("generalise").alias("action"))
 
 
-def find_private(docs: DataFrame, disclosed: float = DISCLOSED, least_texts: int = LEAST_TEXTS) -> DataFrame:
+def find_private(docs: DataFrame, disclosed: float = DISCLOSED, prior: float = PRIOR) -> DataFrame:
     """Per row: ``doc_id, row_key``, ``base`` spans ``(s, k, e, v, l, r)`` and ``terms`` ``(s, e, action)``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = cut(docs.select("doc_id", F.xxhash64("text").alias("row_key"), base_spans(text).alias("base")))
-    near = rows.select("doc_id", "row_key", F.explode("base").alias("m"))
-    near = near.select("doc_id", "row_key", F.concat_ws(":", F.col("m.k"), F.lower("m.v")).alias("entity"), F.explode(_near(F.col("m"))).alias("x"))
-    near = cut(near.select("doc_id", "row_key", "entity", F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.col("x.t").alias("term")).distinct())
-    flagged = disclosing_terms(near, docs.select(text.alias("text")), disclosed, least_texts)
+    rows = docs.select("doc_id", F.xxhash64("text").alias("row_key"), base_spans(text).alias("base"), F.monotonically_increasing_id().alias("row"))
+    rows = cut(rows)
+    near = rows.select("doc_id", "row_key", "row", F.explode("base").alias("m"))
+    near = near.select("doc_id", "row_key", "row", _entities(F.col("m")).alias("entities"), F.explode(_near(F.col("m"))).alias("x"))
+    near = near.select("doc_id", "row_key", "row", F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.col("x.t").alias("term"), F.inline("entities"))
+    near = cut(near.distinct())
+    flagged = disclosing_terms(near, docs.select(text.alias("text")), disclosed, prior)
     spans = near.join(flagged, ["entity", "term"]).groupBy("doc_id", "row_key", "s", "e").agg(F.max("action").alias("action"))
     spans = spans.groupBy("doc_id", "row_key").agg(F.array_sort(F.collect_list(F.struct("s", "e", "action"))).alias("terms"))
     spans = spans.withColumnsRenamed({"doc_id": "t_id", "row_key": "t_key"})

@@ -229,6 +229,19 @@ def test_disclosing_terms_are_found_and_cut(spark):
         assert "[EMAIL]" in r.t and "Quaxley" not in r.t and "corp" not in r.t
 
 
+def test_terms_of_rare_values_are_found(spark):
+    rows = [(i, prose(i, 60).replace("w", "word")) for i in range(200)]
+    rows += [(300, f"{prose(300, 30)} zyxa Quaxley quax@corp.example {prose(301, 30)}"), (301, f"{prose(302, 30)} Brimbol 10.1.2.3 {prose(303, 30)}")]
+    rows += [(302 + i, f"{prose(304 + i, 30)} Dorwick +1 555 010 9999 {prose(306 + i, 30)}") for i in range(2)]
+    # One local name, but a different domain in each text.
+    rows += [(310 + i, f"{prose(310 + i, 30)} Ermin ermin@host{i}.example {prose(320 + i, 30)}") for i in range(2)]
+    text = dict(rows)
+    found = {r.doc_id: {text[r.doc_id][t.s : t.e] for t in r.terms} for r in pii.find_private(documents(spark, rows)).collect()}
+    assert {"zyxa", "Quaxley"} <= found[300] and "Brimbol" in found[301]
+    assert all("Dorwick" in found[302 + i] and "Ermin" in found[310 + i] for i in range(2))
+    assert not any(found[i] for i in range(200))
+
+
 def test_toxicity(spark):
     r = random.Random(9)
     rows = [(i, prose(i, 60).replace("w", "word") + (f" {r.choice(['vile', 'foul'])} {r.choice(['vile', 'foul'])}" if i % 5 == 0 else "")) for i in range(300)]
