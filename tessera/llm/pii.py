@@ -12,15 +12,17 @@ number of texts: ``p(e|t) = (n(e, t) + PRIOR q) / (n(t) + PRIOR)`` is smoothed t
 same way toward ``n(kind) / N``. So values of one text count too, and a term seen once near a
 value discloses a little less than one seen with it more often. Terms that disclose
 ``DISCLOSED`` or more of a value or of a part become spans of kind ``term``: removed if they
-never occur elsewhere, else generalised. Base spans always stay; terms that overlap one are
-not added.
+never occur elsewhere, else generalised. Every occurrence of such a term is marked, in every
+text; a term is any run of letters, digits, marks and ``_``, compared in lower case. Base spans
+always stay; terms that overlap one are not added.
 
 Patterns are written so that Java's engine takes time in proportion to the text: possessive
 repeats, and starts only where a run of the first characters starts. They match what the
 plain patterns match.
 
 All steps are DataFrame functions. Terms and values are counted after map-side combination, so a
-frequent term costs one row per task; the only rows per text are its own spans.
+frequent term costs one row per task. The flagged terms, one row each, are joined to the
+distinct terms of every text, and only texts that hold one are searched for their places.
 
 Results for special rows: a null text is empty and has no spans; a null id is an ordinary
 value; repeated rows get equal results; an empty table gives no rows; other columns are
@@ -29,10 +31,12 @@ ignored.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, same
+from .common import cut, same, shared_folder
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KIND = "term"
@@ -45,7 +49,9 @@ PATTERNS = {
 }
 _BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)?"
 IP_VALUE = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
-TERM = r"\p{L}{3,}"
+_TERM_CHARS = r"\p{L}\p{M}\p{N}_"
+TERM = rf"[{_TERM_CHARS}]++"
+LONG_TERM = r"^\p{L}{3,}$"
 WINDOW = 64
 NEAR_TERMS = 4
 DISCLOSED = 0.9
@@ -54,13 +60,14 @@ PRIOR = 0.5
 _MATCH = "struct<s:bigint,e:bigint,v:string,l:string,r:string>"
 
 
-def located(text: Column, pattern: str) -> Column:
+def located(text: Column, pattern: str | Column) -> Column:
     """All matches as ``(start, end, value, text before, text after)``, in code points.
 
     The pieces between matches come from a split on the same pattern, so adding up lengths
     gives positions in one pass.
     """
-    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("m"))
     none = F.lit(None).cast(_MATCH)
     start = F.struct(F.lit(0).cast("long").alias("pos"), none.alias("open"), F.array().cast(f"array<{_MATCH}>").alias("out"))
 
@@ -117,16 +124,21 @@ def base_spans(text: Column) -> Column:
 
 
 def _near(mention: Column) -> Column:
-    """Terms near a mention as ``(s, e, t)``. A term cut by the window's edge is left out."""
-    left = F.when(F.length(mention["l"]) == WINDOW, F.regexp_replace(mention["l"], r"^\p{L}+", "")).otherwise(mention["l"])
-    right = F.when(F.length(mention["r"]) == WINDOW, F.regexp_replace(mention["r"], r"\p{L}+$", "")).otherwise(mention["r"])
+    """Terms near a mention as ``(s, e, t)``: up to ``NEAR_TERMS`` of three letters or more on each
+    side, and all others up to the last of those. A term cut by the window's edge is left out."""
+    left = F.when(F.length(mention["l"]) == WINDOW, F.regexp_replace(mention["l"], f"^{TERM}", "")).otherwise(mention["l"])
+    right = F.when(F.length(mention["r"]) == WINDOW, F.regexp_replace(mention["r"], f"{TERM}$", "")).otherwise(mention["r"])
 
     def moved(matches: Column, by: Column) -> Column:
         return F.transform(matches, lambda m: F.struct((m["s"] + by).alias("s"), (m["e"] + by).alias("e"), F.lower(m["v"]).alias("t")))
 
-    before = located(left, TERM)
-    before = F.slice(before, F.greatest(F.size(before) - NEAR_TERMS + 1, F.lit(1)), F.lit(NEAR_TERMS))
-    after = F.slice(located(right, TERM), 1, NEAR_TERMS)
+    def long_starts(matches: Column) -> Column:
+        return F.transform(F.filter(matches, lambda m: m["v"].rlike(LONG_TERM)), lambda m: m["s"])
+
+    before, after = located(left, TERM), located(right, TERM)
+    first, last = F.get(F.reverse(long_starts(before)), F.lit(NEAR_TERMS - 1)), F.get(long_starts(after), F.lit(NEAR_TERMS - 1))
+    before = F.filter(before, lambda m: first.isNull() | (m["s"] >= first))
+    after = F.filter(after, lambda m: last.isNull() | (m["s"] <= last))
     return F.concat(moved(before, mention["s"] - F.length(left)), moved(after, mention["e"]))
 
 
@@ -149,14 +161,16 @@ def _entities(mention: Column) -> Column:
     return F.concat(F.array(entity(0, "value", plain), entity(2, "kind", F.lit(""))), parts)
 
 
-def disclosing_terms(near: DataFrame, texts: DataFrame, disclosed: float = DISCLOSED, prior: float = PRIOR) -> DataFrame:
-    """``(entity, term, action)`` for ``near(kind, entity, level, term)`` and all ``texts(text)``."""
+def disclosing_terms(near: DataFrame, texts: DataFrame, inside: DataFrame, disclosed: float = DISCLOSED, prior: float = PRIOR) -> DataFrame:
+    """``(entity, term, action)`` for ``near(kind, entity, level, term)`` and all ``texts(text)``; occurrences
+    ``inside(term)`` base spans do not count."""
     joint = cut(near.groupBy("kind", "entity", "level", "term").agg(F.count(F.lit(1)).alias("n_et")))
     mentions = joint.groupBy("kind", "entity", "level").agg(F.sum("n_et").alias("n_e"))
     of_kind = mentions.filter("level = 2").select("kind", F.col("n_e").alias("n_k"))
     of_kind_term = joint.filter("level = 2").select("kind", "term", F.col("n_et").alias("n_kt"))
     terms = texts.select(F.explode(F.regexp_extract_all("text", F.lit(TERM), F.lit(0))).alias("term"))
-    terms = cut(terms.groupBy(F.lower("term").alias("term")).agg(F.count(F.lit(1)).alias("n_t")))
+    terms = terms.select(F.lower("term").alias("term"), F.lit(1).alias("n")).union(inside.select("term", F.lit(-1)))
+    terms = cut(terms.groupBy("term").agg(F.sum("n").alias("n_t")).filter("n_t > 0"))
     total = F.lit(float(terms.agg(F.sum("n_t")).first()[0] or 1))
     found = joint.filter("level < 2").join(mentions.select("entity", "n_e"), "entity")
     found = found.join(of_kind_term, ["kind", "term"]).join(of_kind, "kind").join(terms, "term")
@@ -165,12 +179,29 @@ def disclosing_terms(near: DataFrame, texts: DataFrame, disclosed: float = DISCL
         return (n + prior * background) / (F.col("n_t") + prior)
 
     by_kind = smoothed(F.col("n_kt"), F.least(F.col("n_k") / total, F.lit(1.0)))
-    left = -F.log2(smoothed(F.col("n_et"), F.least(by_kind * F.col("n_e") / F.col("n_k"), F.lit(1.0))))
+    left = -F.log2(F.least(smoothed(F.col("n_et"), F.least(by_kind * F.col("n_e") / F.col("n_k"), F.lit(1.0))), F.lit(1.0)))
     whole = F.log2(F.greatest(total / F.col("n_e"), F.lit(2.0)))
     found = found.filter(1 - left / whole >= disclosed)
     return found.select("entity", "term", F.when(F.col("n_et") >= F.col("n_t"), "remove").otherwise("generalise").alias("action"))
 
 
+def term_spans(texts: DataFrame, flagged: DataFrame) -> DataFrame:
+    """``(doc_id, row_key, terms)``: every place of a flagged term, for the texts that hold one."""
+    # Written as a file, so that Spark knows its size when it chooses the join.
+    path = f"{shared_folder(texts.sparkSession)}/flagged-{uuid.uuid4().hex}"
+    flagged.groupBy("term").agg(F.max("action").alias("action")).write.parquet(path)
+    flagged = texts.sparkSession.read.parquet(path)
+    held = texts.select("doc_id", "row_key", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)))).alias("form"))
+    held = held.withColumn("term", F.lower("form")).join(flagged, "term").groupBy("doc_id", "row_key")
+    held = held.agg(F.map_from_entries(F.collect_set(F.struct("form", "action"))).alias("forms"))
+    held = cut(held.withColumnsRenamed({"doc_id": "h_id", "row_key": "h_key"}))
+    here = texts.join(held, same(texts.doc_id, F.col("h_id")) & (texts.row_key == F.col("h_key"))).dropDuplicates(["h_id", "h_key"])
+    # The forms as they are written in the text, as whole terms.
+    pattern = F.concat(F.lit(f"(?<![{_TERM_CHARS}])(?:"), F.array_join(F.map_keys("forms"), "|"), F.lit(f")(?![{_TERM_CHARS}])"))
+    found = F.transform(located(F.col("text"), pattern), lambda m: F.struct(m["s"].alias("s"), m["e"].alias("e"), F.col("forms")[m["v"]].alias("action")))
+    return here.select("doc_id", "row_key", found.alias("terms"))
+
+
 def find_private(docs: DataFrame, disclosed: float = DISCLOSED, prior: float = PRIOR) -> DataFrame:
     """Per row: ``doc_id, row_key``, ``base`` spans ``(s, k, e, v, l, r)`` and ``terms`` ``(s, e, action)``."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -179,10 +210,12 @@ def find_private(docs: DataFrame, disclosed: float = DISCLOSED, prior: float = P
     near = rows.select("doc_id", "row_key", "row", F.explode("base").alias("m"))
     near = near.select("doc_id", "row_key", "row", _entities(F.col("m")).alias("entities"), F.explode(_near(F.col("m"))).alias("x"))
     near = near.select("doc_id", "row_key", "row", F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.col("x.t").alias("term"), F.inline("entities"))
-    near = cut(near.distinct())
-    flagged = disclosing_terms(near, docs.select(text.alias("text")), disclosed, prior)
-    spans = near.join(flagged, ["entity", "term"]).groupBy("doc_id", "row_key", "s", "e").agg(F.max("action").alias("action"))
-    spans = spans.groupBy("doc_id", "row_key").agg(F.array_sort(F.collect_list(F.struct("s", "e", "action"))).alias("terms"))
+    inside = rows.select("row", F.explode("base").alias("m"))
+    inside = inside.select("row", F.col("m.s").alias("at"), F.explode(located(F.col("m.v"), TERM)).alias("x"))
+    inside = cut(inside.select("row", (F.col("at") + F.col("x.s")).alias("s"), F.lower("x.v").alias("term")).distinct())
+    near = cut(near.distinct().join(inside.select("row", "s").distinct(), ["row", "s"], "left_anti"))
+    flagged = disclosing_terms(near, docs.select(text.alias("text")), inside, disclosed, prior)
+    spans = term_spans(docs.select("doc_id", F.xxhash64("text").alias("row_key"), text.alias("text")), flagged)
     spans = spans.withColumnsRenamed({"doc_id": "t_id", "row_key": "t_key"})
     joined = rows.join(spans, same(rows.doc_id, F.col("t_id")) & (rows.row_key == F.col("t_key")), "left")
     terms = F.coalesce("terms", F.array().cast("array<struct<s:bigint,e:bigint,action:string>>"))

@@ -242,6 +242,19 @@ def test_terms_of_rare_values_are_found(spark):
     assert not any(found[i] for i in range(200))
 
 
+def test_flagged_terms_are_marked_wherever_they_stand(spark):
+    rows = [(i, prose(i, 60)) for i in range(200)]
+    rows += [(300, f"{prose(300, 30)} Quaxley jo_77 xq quax@corp.example {prose(301, 30)} QUAXLEY, xq {prose(302, 30)} (jo_77)")]
+    rows += [(301, f"{prose(303, 30)} quaxley {prose(304, 30)} quaxleys")] * 2 + [(None, f"xq {prose(305, 30)} Jo_77"), (302, None)]
+    found = pii.find_private(documents(spark, rows), disclosed=0.6).collect()
+    text = dict(rows)
+    assert len(found) == len(rows)
+    marked = {r.doc_id: sorted(text[r.doc_id][t.s : t.e] for t in r.terms) for r in found}
+    assert marked[300] == ["QUAXLEY", "Quaxley", "jo_77", "jo_77", "xq", "xq"]
+    assert marked[301] == ["quaxley"] and marked[None] == ["Jo_77", "xq"] and marked[302] == []
+    assert {t.action for r in found if r.doc_id == 301 for t in r.terms} == {"generalise"}
+
+
 def test_toxicity(spark):
     r = random.Random(9)
     rows = [(i, prose(i, 60).replace("w", "word") + (f" {r.choice(['vile', 'foul'])} {r.choice(['vile', 'foul'])}" if i % 5 == 0 else "")) for i in range(300)]
