@@ -371,8 +371,8 @@ def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     return cut(joined.select("node", F.coalesce("m_label", "label").alias("label")))
 
 
-def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, group_shingles: int = GROUP_SHINGLES, group_members: int = GROUP_MEMBERS) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` for every row of ``docs``."""
+def row_labels(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, group_shingles: int = GROUP_SHINGLES, group_members: int = GROUP_MEMBERS) -> DataFrame:
+    """``(doc_id, row_key, n_shingles, label)`` for every row of ``docs``: one label a component, null without shingles."""
     rows = features(docs, words, num, den)
     tokens = rows.filter("n_shingles > 0").select("node", F.explode("tokens").alias("token"))
     # One sort finds the tokens of several texts; nearly all others go before the next shuffle.
@@ -441,15 +441,21 @@ def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
         labels = _relabel(labels, _opened_links(cells.select("token", "block", "query", "label", "shingles"), num, den))
 
     known = labels.select(F.col("node").alias("l_node"), "label")
-    named = ids.join(known, ids.node == known.l_node, "left").select("doc_id", "n_shingles", F.coalesce("label", "node").alias("label"))
-    named = cut(named)
+    return cut(ids.join(known, ids.node == known.l_node, "left").select("doc_id", "row_key", "n_shingles", F.coalesce("label", "node").alias("label")))
+
+
+def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, group_shingles: int = GROUP_SHINGLES, group_members: int = GROUP_MEMBERS) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` for every row of ``docs``."""
+    named = row_labels(docs, words, num, den, group_shingles, group_members)
     least = named.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least")).withColumnRenamed("label", "k")
     out = named.join(least, named.label == least.k, "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component."""
-    found = link_components(docs, words, num, den)
-    gone = found.filter("doc_id <> component_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, same(F.col("doc_id"), F.col("__gone")), "left_anti")
+    """One row of ``docs`` of each component, the one with the smallest id (null last), then row
+    key; texts without shingles stay. Rows equal in id and text stay or go together."""
+    found = row_labels(docs, words, num, den).filter("label IS NOT NULL").select("label", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key").alias("row"))
+    first = found.groupBy("label").agg(F.min("row").alias("first"))
+    gone = found.join(first, "label").filter(~same(F.col("row.row_key"), F.col("first.row_key"))).select(F.col("row.row_key").alias("__gone")).distinct()
+    return docs.join(gone, F.xxhash64(F.col("doc_id").cast("long"), "text") == F.col("__gone"), "left_anti")

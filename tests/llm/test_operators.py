@@ -391,6 +391,23 @@ def test_similarity_components(spark, words, num, size, members):
     assert sorted((str(x.doc_id), x.n_shingles, str(x.component_id)) for x in got) == sorted(want)
 
 
+def test_keep_one_decides_by_row(spark):
+    a, b, c, d = (prose(s, 100) for s in (31, 32, 33, 34))
+    near = lambda t, k: f"{t} tail{k}"
+    rows = [
+        (1, a), (2, near(a, 1)), (None, near(a, 2)), (None, prose(35, 100)), (None, None), (3, ""),
+        (2, b), (4, near(b, 1)),  # id 2 goes from the group of a and represents the group of b
+        (1, c), (1, near(c, 1)),  # linked texts under one id
+        (None, d), (None, near(d, 1)),  # no id at all
+        (4, prose(36, 100)), (9, None),
+    ]
+    got = [(r.doc_id, r.text) for r in ngram_join.keep_one(documents(spark, rows)).collect()]
+    assert len(got) == len(set(got)) and set(got) <= set(rows)
+    assert set(rows) - set(got) >= {(2, near(a, 1)), (None, near(a, 2)), (4, near(b, 1))}
+    assert {(1, a), (None, prose(35, 100)), (None, None), (3, ""), (2, b), (4, prose(36, 100)), (9, None)} <= set(got)
+    assert len({(1, c), (1, near(c, 1))} & set(got)) == 1 and len({(None, d), (None, near(d, 1))} & set(got)) == 1
+
+
 def test_document_ids_equal_the_tokenizer():
     import random
 
