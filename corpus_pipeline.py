@@ -19,6 +19,8 @@ from tessera.llm.common import shared_folder
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text has a language: null texts and texts without letters go."""
     model = langid.fit_on(docs, F.lit(True))
+    if model is None:  # no label to learn from says nothing about the texts
+        return docs.filter(F.col("text").rlike(langid.LETTER))
     named = langid.identify(docs, model)
     return named.filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 

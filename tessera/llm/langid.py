@@ -8,8 +8,8 @@ in at least two landmarks.
 Model: Nystroem landmarks and one-versus-rest kernel ridge regression,
 ``beta = (C'C + r n W)^-1 C'Y`` with ``C = k(rows, landmarks)``, ``W = k(landmarks, landmarks)``
 and ``Y`` of +1 and -1. It is fitted on the driver from a bounded sample: at most
-``ROWS_PER_LANGUAGE`` labelled rows a language, none longer than ``ROW_CHARS`` characters,
-chosen by a hash of id and text.
+``ROWS_PER_LANGUAGE`` labelled rows a language, chosen by a hash of id and text. Of a text
+longer than ``ROW_CHARS`` characters the sample holds as many from a place chosen by that hash.
 
 Scoring runs over whole texts of any length, in batches: the n-grams of a batch become a
 0/1 matrix, its product with the landmark matrix gives the kernel block and a second
@@ -18,7 +18,7 @@ are read in segments that set ones in the same matrix row.
 
 Results for special rows: a null text, or one without a letter, is ``und`` with score 0;
 rows with a null language are not used for fitting but are scored; if nothing can be
-fitted all rows are ``und``; a null id is scored like any other; repeated rows get equal
+fitted all rows are ``und`` with score 0; a null id is scored like any other; repeated rows get equal
 results; other columns are ignored.
 """
 
@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
+LETTER = r"\p{L}"
 MAX_N = 3
 ROWS_PER_LANGUAGE = 400
 ROW_CHARS = 6000
@@ -156,9 +157,16 @@ def fit(texts: list[str], langs: list[str], max_n: int = MAX_N, landmarks: int =
 
 
 def training_rows(docs: DataFrame, usable: Column, per_language: int = ROWS_PER_LANGUAGE, chars: int = ROW_CHARS) -> DataFrame:
-    """The bounded sample: ``text, lang`` of at most ``per_language`` rows a language."""
+    """The bounded sample: ``text, lang`` of at most ``per_language`` rows with a letter a language,
+    of a longer text a segment of ``chars`` characters."""
     key = F.xxhash64("doc_id", "text")
-    rows = docs.filter(usable & F.col("lang").isNotNull() & F.length("text").between(1, chars)).select("text", "lang", key.alias("key"))
+    rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").rlike(LETTER)).select("text", "lang", key.alias("key"))
+    # Cut before the shuffle, so that it holds the sampled segment only.
+    at = F.pmod(F.xxhash64("key"), F.greatest(F.length("text") - chars + 1, F.lit(1))).cast("int")
+    part = F.substr("text", at + 1, F.lit(chars))
+    # A stretch without letters moves to the text's first letter.
+    lettered = F.regexp_replace("text", r"^\P{L}+", "")
+    rows = rows.select(F.when(part.rlike(LETTER), part).otherwise(F.left(lettered, F.lit(chars))).alias("text"), "lang", "key")
     first = Window.partitionBy("lang").orderBy("key", "text")
     return rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_language).select("text", "lang", "key")
 

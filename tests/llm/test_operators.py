@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tessera.llm import ann, chat, exact_dedup, langid, mixing, ngram_join, packing, pii, suffix_dedup, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, keep_id string, rank int"
@@ -123,6 +124,25 @@ def test_language_id(spark):
     assert all(named[i] == y for i, _, y in rows[:120]) and named[None] == "x" and named[903] == "y"
 
 
+def test_languages_of_long_texts_only_are_learnt(spark):
+    def text(words, seed, n):
+        return " ".join(random.Random(seed).choice(words) for _ in range(n))
+
+    x, y = ["abra", "kadabra", "bada"], ["simsel", "bim", "kippel"]
+    rows = [(i, text(x, i, 40), "x") for i in range(20)] + [(100 + i, "1 " * 9000 + text(y, i, 3000), "y") for i in range(8)]
+    docs = documents(spark, rows + [(200, text(y, 99, 30), None)])
+    sample = langid.training_rows(docs, F.lit(True)).collect()
+    assert len(sample) == 28 and all(re.search("[a-z]", r.text) and len(r.text) <= langid.ROW_CHARS for r in sample)
+    named = {r.doc_id: r.lang_pred for r in langid.identify(docs, langid.fit_on(docs, F.lit(True))).collect()}
+    assert all(named[i] == lang for i, _, lang in rows) and named[200] == "y"
+
+
+def test_stage_without_labels_keeps_texts(spark):
+    rows = [(1, "some words"), (2, None), (3, "12 !?"), (4, "\u00e9"), (None, "more words")]
+    got = corpus_pipeline.language_id(spark, documents(spark, rows), "")
+    assert sorted(str(r.doc_id) for r in got.collect()) == ["1", "4", "None"]
+
+
 def test_presence_kernel_equals_sets(spark):
     texts = ["abra kadabra", "Kadabra!! 7 abra", "simsala bim", "bim bam"]
     model = langid.fit(texts, ["p", "p", "q", "q"], landmarks=2)
