@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples.
 
-Examples are a bounded sample of labelled rows: at most ``EXAMPLES`` rows, none longer than
-``EXAMPLE_CHARS`` characters, chosen by a hash. Terms are words of letters; those whose
+Examples are a bounded sample of labelled rows that have a text: at most ``EXAMPLES`` rows, chosen
+by a hash; of a text longer than ``EXAMPLE_CHARS`` characters, as many from a place chosen by a
+hash. Of several texts of one id the one with the smallest hash counts. Terms are words of letters; those whose
 presence goes with the label (a standard score of at least ``LEAST_Z`` over at least
 ``LEAST_TEXTS`` examples) make the vocabulary. Texts are TF-IDF vectors over it, of length 1.
 
@@ -156,10 +157,13 @@ def rising(votes: list[float], labels: list[int]) -> tuple[list[float], list[flo
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, examples: int = EXAMPLES, chars: int = EXAMPLE_CHARS) -> Model | None:
     """Fit on labelled rows for which ``usable`` (over ``doc_id``) holds; None if there are none."""
     known = labels.filter(usable & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
-    # At most ``examples`` rows of two integers.
-    rows = docs.select("doc_id", "text").filter(F.length("text").between(1, chars)).join(F.broadcast(known), "doc_id")
-    rows = rows.dropDuplicates(["doc_id"]).collect()
+    texts = docs.filter(F.length("text") > 0).select("doc_id", F.xxhash64("text").alias("key"), "text")
+    chosen = texts.select("doc_id", "key").join(known, "doc_id").groupBy("doc_id").agg(F.min("key").alias("key"), F.max("toxic").alias("toxic"))
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
+    # At most ``examples`` rows of three integers.
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "key"])
+    at = F.pmod(F.xxhash64("key"), F.greatest(F.length("text") - chars + 1, F.lit(1))).cast("int")
+    rows = rows.select("doc_id", F.substr("text", at + 1, F.lit(chars)).alias("text"), "toxic").dropDuplicates(["doc_id"]).collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"]))
     if not rows:
         return None

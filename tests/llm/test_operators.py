@@ -288,6 +288,13 @@ def test_toxicity(spark):
     assert all(0 <= x.score <= 1 for x in got.values()) and got[0].evidence
 
 
+def test_toxicity_sample_holds_rows_with_texts(spark):
+    rows = [(i, "good words here") for i in range(20)] + [(100 + i, "vile words " * 500) for i in range(20)] + [(200, ""), (201, None), (0, "good again")]
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i in [*range(20), *range(100, 120), 200, 201, *range(1000, 3000)]], "doc_id long, toxic int")
+    model = toxicity.fit(documents(spark, rows), labels, F.lit(True), examples=40, chars=300)
+    assert sorted(model.ids) == [*range(20), *range(100, 120)] and model.rate == 0.5
+
+
 def test_block_max_search_is_exact():
     r = random.Random(4)
     vectors = []
