@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, exact_dedup, langid, mixing, ngram_join, packing, pii, suffix_dedup, toxicity
+from . import ann, chat, decontamination, exact_dedup, langid, mixing, ngram_join, packing, pii, suffix_dedup, toxicity
 from .common import remainder
 
 
@@ -68,6 +68,10 @@ def op10_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.link_components(_table(spark, sf_dir, "documents"))
 
 
+def op13_decontamination(spark, sf_dir):
+    return decontamination.leak_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -79,6 +83,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op13_decontamination": op13_decontamination,
 }
 
 ORACLE_SQL = {
@@ -88,6 +93,7 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """,
     "op3_mixing": mixing.MIX_SQL,
+    "op13_decontamination": decontamination.LEAK_SQL,
     "op4_nearest_neighbours": """
 WITH v AS (
   SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "conversations"):
+    for table in ("documents", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(ORACLE_SQL[name])
     columns = [c[0] for c in want.description]
