@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontamination, exact_dedup, langid, mixing, ngram_join, packing, pii, suffix_dedup, toxicity
+from . import ann, chat, decontamination, exact_dedup, hard_negatives, langid, mixing, ngram_join, packing, pii, spelling, suffix_dedup, toxicity
 from .common import remainder
 
 
@@ -68,6 +68,16 @@ def op10_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.link_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"), modulus=199)
+
+
 def op13_decontamination(spark, sf_dir):
     return decontamination.leak_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -83,6 +93,8 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_decontamination": op13_decontamination,
 }
 
@@ -93,6 +105,7 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """,
     "op3_mixing": mixing.MIX_SQL,
+    "op11_hard_negatives": hard_negatives.NEGATIVES_SQL,
     "op13_decontamination": decontamination.LEAK_SQL,
     "op4_nearest_neighbours": """
 WITH v AS (
