@@ -29,9 +29,12 @@ from .ranking import (
     make_index,
     mentions_filter,
     occurrences_of_lang,
+    posting_lists,
     rank_langs,
     rank_langs_reduce,
     rank_langs_using_index,
+    term_counts,
+    zero_filled,
 )
 from .sampling import distinct_vectors, sample_global, sample_per_language, sample_vectors, take_centres
 from .survey import (

@@ -1,11 +1,9 @@
 """Per-cluster report: dominant term, its share, size and median score.
 
 Computed on the ``(x, y, n)`` form: the points are assigned to their nearest
-centre by a narrow projection, reduced to one row per (centre, point), and
-both statistics are aggregations of that reduced table (the shuffle of it is
-reused by both). The median is exact: Spark's ``percentile`` with a
-frequency column keeps one counter per distinct score, not every row, and
-merges partial results before the shuffle.
+centre by a narrow projection and counted per (centre, x). The median is exact and
+found by selection (:mod:`.selection`): rounds of counting by score range, so that
+no task holds the scores of a cluster.
 """
 
 from __future__ import annotations
@@ -19,6 +17,7 @@ from ..constants import CLUSTER_REPORT_FORMAT
 from ..functions.geometry import Point
 from ..functions.text import check_vocabulary, vocabulary_array
 from .clustering import weight_column, assign, int_div
+from .selection import truncated_median
 
 
 def cluster_results(
@@ -38,20 +37,19 @@ def cluster_results(
     terms = check_vocabulary(langs)
     weighted = points.select("x", "y", weight_column(points).alias("n"))
     assigned = assign(weighted, centres)
-    per_point = assigned.groupBy("cx", "cy", "x", "y").agg(F.sum("n").alias("n"))
-    per_term = per_point.groupBy("cx", "cy", "x").agg(F.sum("n").alias("cnt"))
+    per_term = assigned.groupBy("cx", "cy", "x").agg(F.sum("n").alias("cnt"))
     dominant = per_term.groupBy("cx", "cy").agg(
         F.max(F.struct(F.col("cnt"), (-F.col("x")).alias("neg_x"))).alias("top"),
         F.sum("cnt").alias("cluster_size"),
     )
-    medians = per_point.groupBy("cx", "cy").agg(F.percentile("y", 0.5, F.col("n")).alias("median"))
+    medians = truncated_median(assigned, ["cx", "cy"], "y", F.col("n"))
     joined = dominant.join(medians, ["cx", "cy"])
     top_x = -F.col("top.neg_x")
     result = joined.select(
         F.element_at(vocabulary_array(terms), int_div(top_x, F.lit(spread)).cast("int") + 1).alias("lang"),
         int_div(F.col("top.cnt") * 100, F.col("cluster_size")).cast("double").alias("lang_percent"),
         F.col("cluster_size").cast("long").alias("cluster_size"),
-        F.col("median").cast("int").alias("median_score"),
+        F.col("median").alias("median_score"),
     )
     return result.orderBy("median_score", "lang", "cluster_size")
 

@@ -1,10 +1,10 @@
 """Questions, answers, their join, best scores and 2-D vectors.
 
-Scoring never gathers a question's answers and needs no join: questions
-and answers meet in one aggregation keyed by question id, combined map-side
-(one row per question per map task, so a question holding a third of all
-answers is not a hot task). :func:`question_vectors` does the same with
-fixed-width values only, so its aggregation is hash-based.
+Scoring never gathers a question's answers: scores are reduced by parent id,
+combined map-side (one row per question per map task, so a question holding a third of all
+answers is not a hot task), before they meet the questions. :func:`question_vectors` needs
+no join at all: questions and answers meet in one aggregation of fixed-width values. The pairs
+themselves, and the groups of them, deal hot questions into pieces (:mod:`.skew`).
 
 Filters on parsed fields are avoided before these aggregations: Catalyst
 pushes such filters below the parsing projection, where they re-run the
@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import check_vocabulary, term_position, vocabulary_array
 from ..schemas import POSTING_COLUMNS
+from .skew import CHUNK, chunked, salted_join
 
 QUESTION = 1
 ANSWER = 2
@@ -49,31 +50,40 @@ def _answers_checked(postings: DataFrame, strict: bool) -> DataFrame:
     return a
 
 
-def question_answer_join(postings: DataFrame, strict: bool = False) -> DataFrame:
+def question_answer_join(postings: DataFrame, strict: bool = False, partitions: int | None = None) -> DataFrame:
     """Inner equi-join question.id = answer.parent_id, one row per pair.
 
     Columns are the posting fields prefixed ``q_`` and ``a_``. Unanswered
     questions and orphan answers vanish; an answer without a parent id is
     dropped, or fails the job with ``strict=True``.
 
-    Both sides grow with the data, so the join is pinned to sort-merge
-    rather than left to a size estimate; AQE then splits the partition of a
-    question that holds a large share of all answers.
+    Both sides grow with the data, so the join is a sort-merge join. A
+    question that holds a large share of all answers is found by a sketch of
+    the parent ids, and the join is then by question and piece
+    (:func:`.skew.salted_join`), so that no task gets all of its answers.
     """
+    return _pairs(postings, strict, partitions).drop("_piece", "_pieces")
+
+
+def _pairs(postings: DataFrame, strict: bool, partitions: int | None = None) -> DataFrame:
     q = _prefixed(questions(postings), "q_")
     a = _prefixed(_answers_checked(postings, strict), "a_")
-    return q.join(a.hint("merge"), q.q_id == a.a_parent_id, "inner")
+    return salted_join(q, "q_id", a, "a_parent_id", F.col("a_id"), partitions)
 
 
-def grouped_postings(postings: DataFrame, strict: bool = False) -> DataFrame:
-    """Question/answer pairs keyed by question id: ``qid`` + the pair columns.
+def grouped_postings(postings: DataFrame, strict: bool = False, size: int = CHUNK, partitions: int | None = None) -> DataFrame:
+    """Question/answer pairs grouped by question id: ``(qid, chunk, pairs, n)``.
 
-    This is the per-question grouping in long form (one row per pair,
-    ``qid`` first). It is not gathered into one array per question, which
-    would put a heavily answered question into a single row and task.
+    ``pairs`` is an array of structs of the pair columns of :func:`question_answer_join`, without the
+    repeated parent id, with at most ``size`` entries; ``n`` is their number. A question with more
+    pairs has several chunks, numbered from 0 and full but for the last, in the order of the md5 of the
+    answer id, so that a heavily answered question is neither one row nor one task.
+    Exploded, the chunks are the pairs of the join.
     """
-    pairs = question_answer_join(postings, strict)
-    return pairs.select(F.col("q_id").alias("qid"), *pairs.columns)
+    pairs = _pairs(postings, strict, partitions)
+    fields = [c for c in pairs.columns if c not in ("_piece", "_pieces", "q_id", "a_parent_id")]
+    pairs = pairs.withColumnRenamed("q_id", "qid")
+    return chunked(pairs, "qid", "a_id", fields, size, "pairs", dealt=True)
 
 
 def scored_postings(postings: DataFrame, strict: bool = False) -> DataFrame:
@@ -83,32 +93,22 @@ def scored_postings(postings: DataFrame, strict: bool = False) -> DataFrame:
     questions share an id, the row with the smallest tag (null first) is kept,
     then the smallest in the other fields.
 
-    One aggregation keyed by question id replaces the join: question rows
-    contribute their posting (as a struct) and answer rows their score, so
-    the postings are scanned once and shuffled once as partial aggregates.
-    The struct holds a string, which makes the aggregation sort-based; it
-    still combines map-side, so a heavily answered question sends one row
-    per map task. No filter precedes the aggregation, because a filter on a
-    parsed field would be pushed below the parser and re-run it.
+    The best score is one hash aggregation of two fixed-width columns, parent
+    id and score, combined map-side, so a heavily answered question
+    sends one row per map task. The question's fields are fetched afterwards, by a join of the
+    scores with the questions; of questions that share an id the first is kept by a rank that is
+    limited before its shuffle.
     """
-    is_question = F.col("posting_type") == QUESTION
-    is_answer = F.col("posting_type") == ANSWER
     parent = F.col("parent_id")
     if strict:
         parent = F.coalesce(parent, F.raise_error(F.lit("answer posting without a parent id")))
+    best = answers(postings).select(parent.alias("qid"), "score").groupBy("qid").agg(F.max("score").alias("best"))
     others = ["tags", *[c for c in POSTING_COLUMNS if c not in ("id", "tags")]]
-    keyed = postings.select(
-        F.when(is_question, F.col("id")).when(is_answer, parent).alias("qid"),
-        F.when(is_question, F.struct(*others)).alias("q"),
-        F.when(is_answer, F.col("score")).alias("answer_score"),
-    )
-    per_question = keyed.groupBy("qid").agg(F.min("q").alias("q"), F.max("answer_score").alias("best"))
-    # The null-key group never holds a question, so "q is not null" drops it.
-    answered = per_question.where(F.col("q").isNotNull() & F.col("best").isNotNull())
-    return answered.select(
-        *[F.col("qid").alias("id") if c == "id" else F.col(f"q.{c}").alias(c) for c in POSTING_COLUMNS],
-        F.greatest(F.col("best"), F.lit(0)).alias("high_score"),
-    )
+    first = Window.partitionBy("id").orderBy(*[F.col(c).asc_nulls_first() for c in others])
+    kept = questions(postings).withColumn("_place", F.row_number().over(first)).where(F.col("_place") == 1).drop("_place")
+    # Null-safe, because a plain equality would infer a filter on the parent id that re-runs the parser.
+    joined = kept.join(best, F.col("id").eqNullSafe(F.col("qid")))
+    return joined.select(*POSTING_COLUMNS, F.greatest(F.col("best"), F.lit(0)).alias("high_score"))
 
 
 def vector_postings(scored: DataFrame, langs: Sequence[str], spread: int) -> DataFrame:

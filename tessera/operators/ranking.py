@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import check_vocabulary, mentioned_terms, mentions, term_position
+from ..schemas import RANKING
 from ..session import literal_frame
+from .skew import CHUNK, chunked
 
 
 TERM = StructType([StructField("lang", StringType())])
@@ -62,11 +64,23 @@ def make_index(articles: DataFrame, langs: Sequence[str]) -> DataFrame:
     Terms without any match are absent. The index is not gathered into one
     row per term: a common term may hold a large share of all articles, and
     a row holding all of them would not fit one task. Counting or filtering
-    by ``lang`` works on the long form directly.
+    by ``lang`` works on the long form directly; :func:`posting_lists` is the nested form.
     """
     return language_article_pairs(articles, langs, keep=("title", "text"))
 
 
+def posting_lists(articles: DataFrame, langs: Sequence[str], size: int = CHUNK, keep: Sequence[str] = ("title", "text"), partitions: int | None = None) -> DataFrame:
+    """Inverted index in nested form: ``(lang, chunk, articles, n)``.
+
+    ``articles`` is an array of structs of ``keep`` with at most ``size`` entries and ``n`` their number. The
+    posting list of a common term has several chunks, numbered from 0 and full but for the last, in the
+    order of the md5 of the first column of ``keep``, so no row and no task holds all of it. Terms without
+    any match are absent. Exploded, the chunks are the long form.
+    """
+    pairs = language_article_pairs(articles, langs, keep=keep)
+    return chunked(pairs, "lang", keep[0], list(keep), size, "articles", partitions=partitions)
+
+
 def rank_langs(articles: DataFrame, langs: Sequence[str]) -> DataFrame:
     """``(lang, n)`` for every term, most mentioned first; zero counts kept."""
     terms = check_vocabulary(langs)
@@ -81,13 +95,32 @@ def rank_langs(articles: DataFrame, langs: Sequence[str]) -> DataFrame:
 def rank_langs_using_index(index: DataFrame, langs: Sequence[str] | None = None) -> DataFrame:
     """``(lang, n)`` = size of each term's posting list, most mentioned first.
 
-    Ties follow reverse vocabulary order when ``langs`` is given, else
-    reverse alphabetical order. Only ``lang`` is read from the index.
+    ``index`` is in long form (its rows are counted) or in chunks with their sizes ``n`` (which are
+    added; the lists are not read). Ties follow reverse vocabulary order when ``langs`` is given, else
+    reverse alphabetical order.
     """
-    counts = index.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    size = F.sum("n") if "chunk" in index.columns else F.count(F.lit(1))
+    counts = index.groupBy("lang").agg(size.alias("n"))
     return order_ranking(counts, langs)
 
 
+def term_counts(articles: DataFrame, langs: Sequence[str]) -> DataFrame:
+    """``(lang, n)`` of the matched terms, unordered: the table that all three rankings follow from.
+
+    One scan, computed at once: at most one row per term of the vocabulary reaches the driver and
+    comes back as a literal.
+    """
+    counts = language_article_pairs(articles, langs, keep=()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    return literal_frame(articles.sparkSession, [(r["lang"], r["n"]) for r in counts.collect()], RANKING)
+
+
+def zero_filled(counts: DataFrame, langs: Sequence[str]) -> DataFrame:
+    """``(lang, n)`` for every term, in order, from the counts of the matched ones."""
+    terms = check_vocabulary(langs)
+    zeros = vocabulary_table(counts.sparkSession, terms).select("lang", F.lit(0).cast("long").alias("n"))
+    return order_ranking(counts.unionByName(zeros).groupBy("lang").agg(F.sum("n").cast("long").alias("n")), terms)
+
+
 def rank_langs_reduce(articles: DataFrame, langs: Sequence[str]) -> DataFrame:
     """``(lang, n)`` for matched terms via one partially aggregated count."""
     terms = check_vocabulary(langs)

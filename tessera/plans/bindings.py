@@ -40,6 +40,10 @@ CLUSTER_SEED = 42
 # Spread that takes the whole-space sampling branch.
 SMALL_SPREAD = 100
 
+# Most entries of a chunk of a question's pairs and of a term's posting list.
+PAIR_CHUNK = 4
+LIST_CHUNK = 64
+
 # Survey minute columns, for l_linenumber = 1..7 in this order.
 SURVEY_MINUTE_COLUMNS: tuple[str, ...] = (
     "t010101", "t180301", "t050101", "t180501", "t120101", "t180201", "t500101",

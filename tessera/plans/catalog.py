@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import aggregates, clusters, postings, ranking, sampling, survey
 from ..operators import clustering as km
@@ -31,6 +32,12 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+def list_digest(column: str, *fields: str) -> Column:
+    """The md5 of the given fields of a list's entries, in order."""
+    entry = lambda e: F.concat_ws(":", *[e[f].cast("string") for f in fields])
+    return F.md5(F.array_join(F.transform(column, entry), ",").cast("binary"))
+
+
 # -- text ranking ------------------------------------------------------------
 
 
@@ -64,6 +71,14 @@ def make_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.make_index(B.articles(spark, sf_dir), B.ARTICLE_TERMS)
 
 
+@query("posting_lists")
+def posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every chunk of every term, its list of articles as a digest of titles and lengths in order."""
+    chunks = ranking.posting_lists(B.articles(spark, sf_dir), B.ARTICLE_TERMS, B.LIST_CHUNK)
+    sized = chunks.withColumn("articles", F.transform("articles", lambda a: F.struct(a["title"], F.length(a["text"]).alias("size"))))
+    return sized.select("lang", "chunk", "n", list_digest("articles", "title", "size").alias("articles_md5"))
+
+
 @query("rank_langs_using_index")
 def rank_langs_using_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = ranking.make_index(B.articles(spark, sf_dir), B.ARTICLE_TERMS)
@@ -95,12 +110,15 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("question_answer_join")
 def question_answer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return postings.question_answer_join(B.postings(spark, sf_dir))
+    pairs = postings.question_answer_join(B.postings(spark, sf_dir))
+    return pairs.select("q_id", "q_score", "q_tags", "a_id", "a_score")
 
 
 @query("grouped_postings")
 def grouped_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return postings.grouped_postings(B.postings(spark, sf_dir))
+    """Every chunk of every question, its list of pairs as a digest of the answers in order."""
+    chunks = postings.grouped_postings(B.postings(spark, sf_dir), size=B.PAIR_CHUNK)
+    return chunks.select("qid", "chunk", "n", list_digest("pairs", "a_id", "a_score").alias("pairs_md5"))
 
 
 @query("scored_postings")

@@ -307,8 +307,21 @@ def _build() -> dict[str, str]:
         "parse_postings": C.sql("SELECT * FROM postings", "postings"),
         "questions": C.sql("SELECT * FROM questions", "questions"),
         "answers": C.sql("SELECT * FROM answers", "answers"),
-        "question_answer_join": C.sql("SELECT * FROM qa_pairs", "qa_pairs"),
-        "grouped_postings": C.sql("SELECT q_id AS qid, * FROM qa_pairs", "qa_pairs"),
+        "question_answer_join": C.sql("SELECT q_id, q_score, q_tags, a_id, a_score FROM qa_pairs", "qa_pairs"),
+        "grouped_postings": C.sql(
+            "SELECT q_id AS qid, rk // {0} AS chunk, COUNT(*) AS n,"
+            " md5(string_agg(a_id || ':' || a_score, ',' ORDER BY rk)) AS pairs_md5 FROM ("
+            " SELECT q_id, a_id, a_score, row_number() OVER (PARTITION BY q_id ORDER BY md5(CAST(a_id AS VARCHAR)), a_id, a_score) - 1 AS rk"
+            " FROM qa_pairs) GROUP BY q_id, rk // {0}".format(B.PAIR_CHUNK),
+            "qa_pairs",
+        ),
+        "posting_lists": C.sql(
+            "SELECT lang, rk // {0} AS chunk, COUNT(*) AS n,"
+            " md5(string_agg(title || ':' || length(text), ',' ORDER BY rk)) AS articles_md5 FROM ("
+            " SELECT lang, title, text, row_number() OVER (PARTITION BY lang ORDER BY md5(title), title, text) - 1 AS rk"
+            " FROM pairs) GROUP BY lang, rk // {0}".format(B.LIST_CHUNK),
+            "pairs",
+        ),
         "scored_postings": C.sql("SELECT * FROM scored", "scored"),
         "vector_postings": C.sql("SELECT x, y FROM vectors", "vectors"),
         "distinct_vectors": C.sql("SELECT x, y FROM dv", "dv"),

@@ -31,19 +31,19 @@ class Rankings:
     """The three rankings of one article set."""
 
     naive: DataFrame  # every term, zero counts kept
-    using_index: DataFrame  # matched terms, from the long-form index
+    using_index: DataFrame  # matched terms, by the size of their posting lists
     reduce: DataFrame  # matched terms, one partial aggregation
 
 
 def rank_article_file(spark: SparkSession, path: str, langs: Sequence[str] = LANGUAGES) -> Rankings:
-    """Article lines at ``path`` -> the three rankings of ``langs``."""
-    articles = parse_articles(read_lines(spark, path))
-    index = ranking.make_index(articles, langs)
-    return Rankings(
-        naive=ranking.rank_langs(articles, langs),
-        using_index=ranking.rank_langs_using_index(index, langs),
-        reduce=ranking.rank_langs_reduce(articles, langs),
-    )
+    """Article lines at ``path`` -> the three rankings of ``langs``.
+
+    The file is read once: the size of a term's posting list, the number of articles that mention it and
+    the count by key are one number, so all three rankings follow from one table of counts.
+    """
+    counts = ranking.term_counts(parse_articles(read_lines(spark, path)), langs)
+    ordered = ranking.order_ranking(counts, langs)
+    return Rankings(naive=ranking.zero_filled(counts, langs), using_index=ordered, reduce=ordered)
 
 
 @dataclass

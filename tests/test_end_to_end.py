@@ -30,18 +30,13 @@ def write(path, text):
 
 
 def test_ranking_from_an_article_file(spark, tmp_dir):
-    articles = [
-        ("Scala", "compile Scala beside Java sources"),
-        ("Java", "old Java servers still answer"),
-        ("Haskell", "from Haskell types back to Java"),
-        ("Erlang", "a night of Groovy scripts before Erlang"),
-    ]
+    articles = [("oak", "leaf bark root leaf"), ("fern", "leaf root"), ("moss", "damp, root"), ("stone", "grey")]
     body = "".join(f"<page> <title>{t}</title><text>{x}</text>  </page>\n" for t, x in articles)
     lines = read_lines(spark, write(os.path.join(tmp_dir, "articles.dat"), body))
     parsed = parse_articles(lines)
-    langs = ["Scala", "Java", "Groovy", "Haskell", "Erlang", "Perl"]
+    langs = ["bark", "damp", "leaf", "root", "grey"]
     full = [(r.lang, r.n) for r in rank_langs(parsed, langs).collect()]
-    assert full == [("Java", 3), ("Erlang", 1), ("Haskell", 1), ("Groovy", 1), ("Scala", 1), ("Perl", 0)]
+    assert full == [("root", 3), ("leaf", 2), ("grey", 1), ("bark", 1), ("damp", 0)]
     assert [(r.lang, r.n) for r in rank_langs_using_index(make_index(parsed, langs), langs).collect()] == full[:-1]
     assert [(r.lang, r.n) for r in rank_langs_reduce(parsed, langs).collect()] == full[:-1]
 

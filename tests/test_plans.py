@@ -42,10 +42,10 @@ def test_vectors_one_hash_aggregation_no_join_no_parse_filters(postings):
     assert not parse_filters(p)
 
 
-def test_scoring_is_one_aggregation_without_join(postings):
+def test_scores_are_a_hash_aggregation_and_fields_are_fetched_after(postings):
     p = plan(qa.scored_postings(postings))
-    assert "Join" not in p
-    assert "partial_max" in p
+    assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
+    assert "partial_max" in p and "WindowGroupLimit" in p
     assert not parse_filters(p)
 
 
@@ -85,6 +85,28 @@ def test_kmeans_assignment_is_narrow(spark):
     assert tree.count("Exchange") == 1  # the one aggregation shuffle
 
 
-def test_pair_join_is_sort_merge(postings):
+def test_pair_join_is_sort_merge_by_question_and_piece(postings):
     p = plan(qa.question_answer_join(postings))
-    assert "SortMergeJoin" in p and "BroadcastExchange" not in p
+    tree = p.split("\n\n")[0]
+    assert "SortMergeJoin" in tree and "approx_top_k" in p
+    assert "_piece" in p.split("SortMergeJoin", 2)[2].split("\n\n")[0]
+
+
+def test_three_rankings_of_a_file_read_it_once(spark, tmp_dir, monkeypatch):
+    import os
+
+    from tessera.programs import rank_article_file
+
+    path = os.path.join(tmp_dir, "articles.dat")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("<page> <title>a</title><text>x y</text>  </page>\n<page> <title>b</title><text>y</text>  </page>\n")
+    kind = type(spark.range(1))
+    jobs, collect = [], kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: jobs.append(plan(df)) or collect(df))
+    r = rank_article_file(spark, path, ["x", "y", "z"])
+    assert [p.split("\n\n")[0].count("Scan text") for p in jobs] == [1]
+    monkeypatch.undo()
+    assert all("Scan text" not in plan(df) for df in (r.naive, r.using_index, r.reduce))
+    os.remove(path)
+    assert [tuple(x) for x in r.naive.collect()] == [("y", 2), ("x", 1), ("z", 0)]
+    assert [tuple(x) for x in r.using_index.collect()] == [tuple(x) for x in r.reduce.collect()] == [("y", 2), ("x", 1)]

@@ -35,8 +35,8 @@ def test_join_pairs(postings):
     pairs = sorted((r.q_id, r.a_id) for r in question_answer_join(postings).collect())
     assert pairs == [(1, 11), (1, 13), (2, 12), (4, 14)]
     grouped = grouped_postings(postings)
-    assert grouped.columns[0] == "qid"
-    assert sorted(r.qid for r in grouped.collect()) == [1, 1, 2, 4]
+    assert grouped.columns == ["qid", "chunk", "pairs", "n"]
+    assert sorted((r.qid, r.chunk, sorted(p.a_id for p in r.pairs)) for r in grouped.collect()) == [(1, 0, [11, 13]), (2, 0, [12]), (4, 0, [14])]
 
 
 def test_scores_floor_at_zero(postings):
@@ -108,3 +108,33 @@ def test_both_ways_to_the_vectors_agree_on_repeated_ids(spark, seed):
         two_step = sorted(tuple(v) for v in vector_postings(scored_postings(p), langs, 10).collect())
         assert sorted(tuple(v) for v in question_vectors(p, langs, 10).collect()) == two_step
     assert (0, 3) in [tuple(v) for v in question_vectors(p, ["java"], 10).collect()]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_scores_of_repeated_ids_equal_brute_force(spark, seed):
+    import random
+
+    r = random.Random(seed)
+    ask = [(1, r.randrange(7), r.choice([None, 3]), None, r.randrange(3), r.choice([None, "b", "a", "c" * 30])) for _ in range(25)]
+    say = [(2, 100 + i, None, r.choice([None, *range(9)]), r.randrange(-9, 9), None) for i in range(30)] + [(3, 5, None, 2, 99, "x")]
+    p = spark.createDataFrame(ask + say, "posting_type int, id long, accepted_answer long, parent_id long, score int, tags string").repartition(3)
+    best = {}
+    for _, _, _, parent, score, _ in say[:-1]:
+        if parent is not None:
+            best[parent] = max(best.get(parent, 0), score)
+    least = lambda v: (v is not None, v if v is not None else 0)
+    order = lambda q: (q[5] is not None, q[5] or "", q[0], least(q[2]), least(q[3]), q[4])
+    want = [(*min((q for q in ask if q[1] == i), key=order), best[i]) for i in {q[1] for q in ask} if i in best]
+    assert sorted(map(str, (tuple(x) for x in scored_postings(p).collect()))) == sorted(map(str, want))
+
+
+def test_groups_of_a_question_with_repeated_answers(spark):
+    rows = [(1, 1, None, None, 0, "a"), (1, 1, None, None, 0, "b"), (1, 2, None, None, 0, None)]
+    rows += [(2, 50 + i % 40, None, 1 + i // 90, i % 3, None) for i in range(100)]
+    p = spark.createDataFrame(rows, "posting_type int, id long, accepted_answer long, parent_id long, score int, tags string").repartition(4)
+    chunks = grouped_postings(p, size=8, partitions=3).collect()
+    assert sorted(map(str, chunks)) == sorted(map(str, grouped_postings(p.coalesce(1), size=8, partitions=50).collect()))
+    assert all(c.n == len(c.pairs) <= 8 for c in chunks)
+    pairs = sorted((r.q_id, r.q_tags or "", r.a_id, r.a_score) for r in question_answer_join(p).collect())
+    assert sorted((c.qid, x.q_tags or "", x.a_id, x.a_score) for c in chunks for x in c.pairs) == pairs and len(pairs) == 190
+    assert {c.qid: c.chunk for c in sorted(chunks, key=lambda c: c.chunk)} == {1: 22, 2: 1}

@@ -9,9 +9,13 @@ from tessera.operators.ranking import (
     make_index,
     mentions_filter,
     occurrences_of_lang,
+    order_ranking,
+    posting_lists,
     rank_langs,
     rank_langs_reduce,
     rank_langs_using_index,
+    term_counts,
+    zero_filled,
 )
 
 VOCAB = ["alpha", "beta", "gamma", "delta"]
@@ -75,47 +79,60 @@ def test_duplicate_vocabulary_rejected(c1):
         rank_langs(c1, ["alpha", "alpha"])
 
 
-# Five small cases: single article, top term, index keys, top term via index and via reduce.
-
-
-def test_suite_one_article_counts_once(spark):
-    df = spark.createDataFrame([("1", "Java runs here")], "title string, text string")
-    assert occurrences_of_lang(df, "Java").first().n == 1
-
-
-def test_suite_top_term_of_two_articles(spark):
-    df = spark.createDataFrame([("1", "we wrote Scala today"), ("2", "some Java first and later Scala")], "title string, text string")
-    assert ranked(rank_langs(df, ["Scala", "Java"]))[0] == ("Scala", 2)
-
-
-def test_suite_index_has_only_matched_terms(spark):
-    df = spark.createDataFrame(
-        [("1", "a night of Groovy scripts before Erlang"), ("2", "compile Scala beside Java sources"), ("3", "teaching Scala to beginners")],
-        "title string, text string",
-    )
-    index = make_index(df, ["Scala", "Java"])
-    assert sorted(r.lang for r in index.select("lang").distinct().collect()) == ["Java", "Scala"]
-
-
-def test_suite_top_term_via_index_of_three_articles(spark):
-    df = spark.createDataFrame(
-        [("1", "a night of Groovy scripts before Erlang"), ("2", "compile Scala beside Java sources"), ("3", "teaching Scala to beginners")],
-        "title string, text string",
-    )
-    ranked = [(r.lang, r.n) for r in rank_langs_using_index(make_index(df, ["Scala", "Java"]), ["Scala", "Java"]).collect()]
-    assert ranked == [("Scala", 2), ("Java", 1)]
+# A table of counts that is worked out by hand: each row of OFFICE is an article.
+OFFICE = [
+    ("memo", "ink ink paper"),
+    ("order", "paper clip"),
+    ("note", "clip ink clip"),
+    ("draft", "stapler,"),
+    ("blank", ""),
+    ("none", None),
+]
 
 
-def test_suite_top_term_via_index_and_reduce(spark):
-    df = spark.createDataFrame(
-        [("1", "a night of Groovy scripts before Erlang"), ("2", "compile Scala beside Java sources"),
-         ("3", "teaching Scala to beginners"), ("4", "from Haskell types back to Java"),
-         ("5", "old Java servers still answer")],
-        "title string, text string",
-    )
-    langs = ["Scala", "Java", "Groovy", "Haskell", "Erlang"]
-    assert ranked(rank_langs_using_index(make_index(df, langs), langs))[0] == ("Java", 3)
-    assert ranked(rank_langs_reduce(df, langs))[0] == ("Java", 3)
+@pytest.mark.parametrize(
+    "langs, counts",
+    [
+        (["ink", "paper", "clip"], [("clip", 2), ("paper", 2), ("ink", 2)]),
+        (["clip", "ink", "stapler"], [("ink", 2), ("clip", 2), ("stapler", 0)]),
+        (["stapler,"], [("stapler,", 1)]),
+        (["glue", "tape"], [("tape", 0), ("glue", 0)]),
+    ],
+)
+def test_every_ranking_of_every_vocabulary(spark, langs, counts):
+    office = spark.createDataFrame(OFFICE, "title string, text string").repartition(3)
+    found = [c for c in counts if c[1]]
+    assert ranked(rank_langs(office, langs)) == counts
+    assert ranked(rank_langs_reduce(office, langs)) == found
+    assert ranked(rank_langs_using_index(make_index(office, langs), langs)) == found
+    assert ranked(rank_langs_using_index(posting_lists(office, langs, size=1), langs)) == found
+    shared = term_counts(office, langs)
+    assert ranked(zero_filled(shared, langs)) == counts and ranked(order_ranking(shared, langs)) == found
+    assert [occurrences_of_lang(office, t).first().n for t, _ in counts] == [n for _, n in counts]
+
+
+def test_rankings_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "title string, text string")
+    assert ranked(rank_langs(empty, ["ink"])) == [("ink", 0)]
+    assert ranked(rank_langs_reduce(empty, ["ink"])) == [] == posting_lists(empty, ["ink"]).collect()
+    assert ranked(zero_filled(term_counts(empty, ["ink"]), ["ink"])) == [("ink", 0)]
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 5000])
+def test_posting_lists_are_the_index_in_bounded_chunks(spark, size):
+    texts = [(f"t{i % 400}", "common " + ("every-third " if i % 3 == 0 else "") + ("rare" if i % 97 == 0 else "")) for i in range(500)]
+    articles = spark.createDataFrame(texts, "title string, text string").repartition(5)
+    langs = ["common", "every-third", "rare", "absent"]
+    chunks = posting_lists(articles, langs, size=size, partitions=4).collect()
+    again = posting_lists(articles.repartition(2), langs, size=size, partitions=64).collect()
+    assert sorted(map(str, chunks)) == sorted(map(str, again))
+    assert all(c.n == len(c.articles) <= size for c in chunks)
+    long_form = sorted((r.lang, r.title, r.text) for r in make_index(articles, langs).collect())
+    assert sorted((c.lang, a.title, a.text) for c in chunks for a in c.articles) == long_form
+    for lang in langs:
+        sizes = [c.n for c in sorted(chunks, key=lambda c: c.chunk) if c.lang == lang]
+        assert all(n == size for n in sizes[:-1])
+        assert sorted(c.chunk for c in chunks if c.lang == lang) == list(range(len(sizes)))
 
 
 def test_large_vocabulary(c1):

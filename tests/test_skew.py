@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
+
 from tessera.operators import question_vectors, rank_langs, sample_per_language, scored_postings
-from tessera.operators.postings import weighted_vectors
+from tessera.operators.postings import grouped_postings, question_answer_join, weighted_vectors
+from tessera.operators.skew import heavy_keys
 from tessera.sources import parse_postings
 
 
@@ -26,3 +30,42 @@ def test_hot_term_and_hot_point(spark):
     assert dict(((r.x, r.y), r.n) for r in w.collect())[(0, 1)] == 4000
     sample = sample_per_language(points.repartition(7), ["a", "b"], 4).collect()
     assert len(sample) == 4 and len({(r.x, r.y) for r in sample}) == 4
+
+
+@pytest.fixture
+def half_hot(spark):
+    """1,000 questions and 10 million answers, half of them to question 7."""
+    ask = spark.range(1000).select(F.lit(1).alias("posting_type"), "id", F.lit(None).cast("long").alias("accepted_answer"), F.lit(None).cast("long").alias("parent_id"), F.lit(0).alias("score"), F.lit("t").alias("tags"))
+    parent = F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 1000)
+    say = spark.range(10_000_000).select(F.lit(2).alias("posting_type"), (F.col("id") + 5000).alias("id"), F.lit(None).cast("long").alias("accepted_answer"), parent.alias("parent_id"), (F.col("id") % 50).cast("int").alias("score"), F.lit(None).cast("string").alias("tags"))
+    return ask.unionByName(say)
+
+
+@pytest.fixture
+def no_help(spark):
+    """Adaptive skew handling and the merging of small partitions off."""
+    keys = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_a_question_with_half_of_all_answers_is_no_hot_task(spark, half_hot, no_help):
+    pairs = question_answer_join(half_hot).select("q_id", "a_id")
+    sizes = sorted(r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect())
+    assert sum(sizes) == 10_000_000 and len(sizes) == 32
+    assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+    hot = heavy_keys(half_hot.where("posting_type = 2"), "parent_id").collect()
+    assert max(hot, key=lambda r: r.pieces).heavy == 7 and len(hot) <= 64
+
+
+def test_groups_of_a_hot_question_are_bounded(spark, half_hot, no_help):
+    few = half_hot.where("posting_type = 1 OR id % 40 < 2")  # 500,000 answers
+    chunks = grouped_postings(few, size=1000).select("qid", "chunk", "n", F.size("pairs").alias("size"))
+    got = chunks.groupBy("qid").agg(F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("chunks"), F.max("chunk").alias("last"), F.max(F.abs(F.col("n") - F.col("size"))).alias("off"))
+    for r in got.collect():
+        assert r.most <= 1000 and r.off == 0 and r.chunks == r.last + 1 == -(-r.n // 1000)
+    assert got.where("qid = 7").first().n >= 250_000
