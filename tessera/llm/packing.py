@@ -7,8 +7,8 @@ as bitset, counts split into powers of two) finds the filling closest to the cap
 back through the stored bitsets gives how many pieces of each length to take.
 
 Scale: token ids never leave the task that made them; pieces are rows of a few integers.
-They are dealt into shards of about ``SHARD_PIECES`` pieces by a hash, and each shard packs
-by itself, so only the last window of a shard has slack worth naming.
+They are dealt into shards of about ``SHARD_PIECES`` pieces by a hash (of their place too, so that
+repeated rows part), and each shard packs by itself, so only the last window of a shard has slack worth naming.
 
 Results for special rows: a null text is empty and yields the end id alone; a null id is
 carried through; repeated rows are separate documents; an empty table gives no rows; other
@@ -34,8 +34,9 @@ from .common import cut, release_memory
 CAPACITY = 2048
 END_ID = 1
 SHARD_PIECES = 8192
-CACHE_WORDS = 300_000
-CHUNK_BYTES = 2 << 20
+#: Words, and cuts of words, whose ids a worker keeps; about 100 bytes each.
+CACHE_WORDS = 800_000
+CHUNK_BYTES = 8 << 20
 
 
 def _take(capacity: int, counts: dict[int, int]) -> list[int]:
@@ -87,6 +88,9 @@ class WordIds:
     Where the vocabulary lowers the text and then cuts it by a pattern, words of plain Latin
     characters are lowered and cut here, all at once, and each distinct cut goes to the merge
     model once. All other words go through the whole tokenizer.
+
+    The ids of words seen before stand in one table, in the order of ``seen``, so that a chunk
+    costs a look-up and the work for its new words.
     """
 
     #: Printable characters below U+0180: composed already, each with one lower-case character
@@ -98,8 +102,8 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {"": b""}
         self.cuts: dict[str, bytes] = {"": b""}
+        self.forget()
         self.pattern = cut_pattern(self.tokenizer)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -116,15 +120,27 @@ class WordIds:
         return [known[x] for x in cuts]
 
     def of_words(self, words: list[str]) -> list[bytes]:
-        known = self.words
-        if len(known) > CACHE_WORDS:
-            known = self.words = {"": b""}
-        new = [w for w in words if w not in known]
-        for word, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            known[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        return [known[w] for w in words]
+        encoded = self.tokenizer.encode_batch(words, add_special_tokens=False)
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encoded]
+
+    def forget(self) -> None:
+        self.seen, self.table, self.at = pa.array([], pa.large_string()), np.empty(0, np.uint32), np.zeros(1, np.int64)
 
     def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct ``words`` in a row, and where each word's begin (and the last end)."""
+        if len(self.seen) + len(words) > CACHE_WORDS:
+            self.forget()
+        place = pc.index_in(words, value_set=self.seen)
+        unseen = words.filter(pc.is_null(place))
+        if len(unseen):
+            table, at = self.encoded(unseen)
+            place = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            place[place < 0] = len(self.seen) + np.arange(len(unseen))
+            self.seen = pa.concat_arrays([self.seen, unseen])
+            self.table, self.at = np.concatenate((self.table, table)), np.concatenate((self.at, self.at[-1] + at[1:]))
+        return gather(self.table, self.at, np.asarray(place))
+
+    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct ``words`` in a row, and where each word's begin (and the last end)."""
         plain = np.zeros(len(words), bool)
         if self.pattern:
@@ -193,14 +209,17 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
     """``(doc_id, start, length, ids_crc32, doc_tokens)``: full windows and one remainder a document.
 
     The vocabulary's splitting never joins characters across a blank or line end, so words
-    between those are encoded once a task and looked up afterwards (``CACHE_WORDS`` and those
-    of one chunk at most).
+    between those are encoded once and looked up afterwards (``CACHE_WORDS`` and those
+    of one chunk at most). The table of ids lives in the value of an empty broadcast, which a worker process
+    keeps from one task to the next.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    kept = docs.sparkSession.sparkContext.broadcast({})
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        word_ids = WordIds(vocabulary)
+        held = kept.value
+        word_ids = held.get("words") or held.setdefault("words", WordIds(vocabulary))
         for batch in batches:
             ids, rows = batch.column("doc_id"), ([], [], [], [], [])
             for k, body in enumerate(document_ids(batch.column("text").cast(pa.large_string()), word_ids, end_id)):
@@ -222,7 +241,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     """Add ``sequence_id`` and ``offset`` to pieces of at most ``capacity`` tokens."""
     pieces = cut(pieces)
     shards = max(1, -(-pieces.count() // shard_pieces))
-    keyed = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(shards)))
+    # The place in the checkpoint deals out rows that are equal in everything.
+    salted = F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens", F.monotonically_increasing_id())
+    keyed = pieces.withColumn("shard", F.pmod(salted, F.lit(shards)))
     schema = keyed.drop("shard").limit(0).withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema
 
     def fill(key: tuple, table: pa.Table) -> pa.Table:
