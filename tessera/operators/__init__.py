@@ -71,6 +71,7 @@ __all__ = [
     "mentions_filter",
     "nearest_center",
     "occurrences_of_lang",
+    "posting_lists",
     "point_distance",
     "question_answer_join",
     "question_vectors",
@@ -78,6 +79,7 @@ __all__ = [
     "rank_langs",
     "rank_langs_reduce",
     "rank_langs_using_index",
+    "term_counts",
     "sample_global",
     "sample_per_language",
     "sample_vectors",
@@ -91,4 +93,5 @@ __all__ = [
     "time_usage_summary_typed",
     "vector_postings",
     "weighted_vectors",
+    "zero_filled",
 ]

@@ -39,8 +39,9 @@ def heavy_keys(rows: DataFrame, key: str, partitions: int | None = None) -> Data
     """
     parts = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     most = max(16, min(MOST_HEAVY, 2 * parts))
-    sketch = rows.where(F.col(key).isNotNull()).agg(F.expr(f"approx_top_k(`{key}`, {most}, {min(1_000_000, 16 * most)})").alias("top"), F.count(F.lit(1)).alias("total"))
-    found = sketch.select("total", F.inline("top")).toDF("total", "heavy", "seen")
+    # No filter of null keys before the sketch: it would be pushed below a parser and run it twice.
+    sketch = rows.agg(F.expr(f"approx_top_k(`{key}`, {most}, {min(1_000_000, 16 * most)})").alias("top"), F.count(key).alias("total"))
+    found = sketch.select("total", F.inline("top")).toDF("total", "heavy", "seen").where(F.col("heavy").isNotNull())
     share = F.col("seen") * parts / F.col("total")  # in average partitions
     pieces = F.least(F.lit(MOST_PIECES), F.pow(F.lit(2.0), F.ceil(F.log2(share * FINENESS))).cast("int"))
     return found.where((share > 0.25) & (F.col("total") >= parts)).select("heavy", pieces.alias("pieces"))
@@ -54,7 +55,7 @@ def order_hash(identity: Column) -> Column:
 def piece_of(hashed: Column, pieces: Column) -> Column:
     """The piece of a row: its hash, scaled; 0 for a light key (null ``pieces``)."""
     leading = F.conv(F.substring(hashed, 1, HASH_DIGITS), 16, 10).cast("int")
-    return F.coalesce(F.floor(leading * pieces / F.lit(MOST_PIECES)).cast("int"), F.lit(0))
+    return F.when(pieces.isNull(), 0).otherwise(F.floor(leading * pieces / F.lit(MOST_PIECES)).cast("int"))
 
 
 def with_piece(rows: DataFrame, key: str, hashed: Column, heavy: DataFrame) -> DataFrame:
