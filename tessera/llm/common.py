@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,37 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables written in the shared folder in place of checkpoints: compressed, and deleted when done with.
+
+    Use it as a context, or call :meth:`drop` for a table that is no longer read.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.paths = spark, f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}", {}
+
+    def table(self, name: str, df: DataFrame) -> DataFrame:
+        """``df``, computed once, written as Parquet and read again."""
+        self.paths[name] = f"{self.folder}/{name}-{len(self.paths)}"
+        df.write.parquet(self.paths[name])
+        return self.spark.read.schema(df.schema).parquet(self.paths[name])
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self._delete(self.paths.pop(name))
+
+    def _delete(self, path: str) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._delete(self.folder)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that are no longer referenced.
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, release_memory, release_shuffles, same
+from .common import Scratch, cut, release_memory, release_shuffles, same
 
 GROUP_SHINGLES = 2_000_000
 GROUP_MEMBERS = 8192
@@ -118,7 +118,7 @@ class Schemes:
                 self.level(self.ends[-1] + 1)
             end = self.ends[j]
             t = self.most_apart(end, end)
-            parts = 1 if t == 0 else t + 2 + t // 8
+            parts = 1 if t == 0 else t + 2
             bounds = np.concatenate((np.zeros(1, np.int64), np.searchsorted(s, self.inner_edges(parts)), np.array([size])))
             content = sums[bounds[1:]] - sums[bounds[:-1]]
             filled = bounds[1:] > bounds[:-1]
@@ -170,18 +170,15 @@ def features(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, row_key long, n_shingles long, node long, tokens array<long>, least array<long>")
 
 
-def _shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """``(node, token, block, shingles)`` for ``texts(node, token, block, text)``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, names = Shingler(words), ["node", "token", "block"]
-        for batch in in_slices(batches):
-            sets = [shingles(t).view(np.int64) for t in batch.column("text").to_pylist()]
-            columns = [batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.list_(pa.int64()))], names=[*names, "shingles"])
-        release_memory()
-
-    return texts.mapInArrow(run, "node long, token long, block long, shingles array<long>")
+def shingled(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """Batches with the column ``shingles`` in place of each ``text``; texts are a third of their sets' size to move."""
+    shingles = Shingler(words)
+    for batch in in_slices(batches):
+        columns = [
+            pa.array([shingles(t).view(np.int64) for t in batch.column(n).to_pylist()], pa.list_(pa.int64())) if n.startswith("text") else batch.column(n)
+            for n in batch.schema.names
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=[n.replace("text", "shingles") for n in batch.schema.names])
 
 
 def linked(a: frozenset, b: frozenset, num: int, den: int) -> bool:
@@ -279,20 +276,20 @@ def _contiguous(df: DataFrame, keys: list[str], *then: str) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys, *then)
 
 
-def _local_labels(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """``(node, label)`` from joining every group by itself."""
+def _local_labels(placed: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """``(node, label)`` from joining every group of ``placed(node, token, block, text)`` by itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _by_group(batches, ["token", "block"]):
+        for group in _by_group(shingled(batches, words), ["token", "block"]):
             nodes = [r["node"] for r in group]
             labels = join_members(nodes, [r["shingles"] for r in group], num, den) if len(group) > 1 else nodes
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(labels, pa.int64())], names=["node", "label"])
         release_memory()
 
-    return _contiguous(sets, ["token", "block"], "node").mapInArrow(run, "node long, label long")
+    return _contiguous(placed, ["token", "block"], "node").mapInArrow(run, "node long, label long")
 
 
-def _opened_links(cells: DataFrame, num: int, den: int) -> DataFrame:
+def _opened_links(cells: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Links ``(a, b)`` of labels, from cells of members and then the texts that opened the group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +304,7 @@ def _opened_links(cells: DataFrame, num: int, den: int) -> DataFrame:
                 asked.clear()
             return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-        for batch in batches:
+        for batch in shingled(batches, words):
             columns = [batch.column(k).to_pylist() for k in ("token", "block", "query", "label")]
             lists = batch.column("shingles")
             for row, (token, block, query, label) in enumerate(zip(*columns)):
@@ -331,10 +328,12 @@ def _opened_links(cells: DataFrame, num: int, den: int) -> DataFrame:
     return _contiguous(cells, ["token", "block"], "query").mapInArrow(run, "a long, b long")
 
 
-def _pair_links(pairs: DataFrame, num: int, den: int) -> DataFrame:
+def _pair_links(pairs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Links ``(a, b)`` of the linked pairs of ``pairs(a, b, text_left, text_right)``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("left"), batch.column("right")
+        for batch in shingled(batches, words):
+            left, right = batch.column("shingles_left"), batch.column("shingles_right")
             good = [linked(frozenset(left[i].values.to_pylist()), frozenset(right[i].values.to_pylist()), num, den) for i in range(batch.num_rows)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
@@ -373,17 +372,23 @@ def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def row_labels(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, group_shingles: int = GROUP_SHINGLES, group_members: int = GROUP_MEMBERS) -> DataFrame:
     """``(doc_id, row_key, n_shingles, label)`` for every row of ``docs``: one label a component, null without shingles."""
-    rows = features(docs, words, num, den)
-    tokens = rows.filter("n_shingles > 0").select("node", F.explode("tokens").alias("token"))
-    # One sort finds the tokens of several texts; nearly all others go before the next shuffle.
-    of_token = Window.partitionBy("token")
-    shared = tokens.withColumns({"lo": F.min("node").over(of_token), "hi": F.max("node").over(of_token)}).filter("lo < hi")
+    with Scratch(docs.sparkSession) as scratch:
+        return _row_labels(scratch, docs, words, num, den, group_shingles, group_members)
+
+
+def _row_labels(scratch: Scratch, docs: DataFrame, words: int, num: int, den: int, group_shingles: int, group_members: int) -> DataFrame:
+    rows = scratch.table("rows", features(docs, words, num, den))
     ids = cut(rows.select("doc_id", "row_key", "n_shingles", "node", "least"))
     nodes = ids.filter("node IS NOT NULL").groupBy("node").agg(
         F.max("n_shingles").alias("n"), F.min(F.struct("doc_id", "row_key")).alias("row"), F.max("least").alias("least")
     )
+    tokens = rows.filter("n_shingles > 0").select("node", F.explode("tokens").alias("token"))
+    # One sort finds the tokens of several texts; nearly all others go before the next shuffle.
+    of_token = Window.partitionBy("token")
+    shared = tokens.withColumns({"lo": F.min("node").over(of_token), "hi": F.max("node").over(of_token)}).filter("lo < hi")
     live = cut(shared.groupBy("node").agg(F.collect_set("token").alias("tokens")))
-    del tokens, shared
+    scratch.drop("rows")
+    del rows, tokens, shared
     release_shuffles(docs.sparkSession)
     # A text with fewer live tokens than any linked text would share has no link.
     enough = live.join(nodes.select("node", "least"), "node")
@@ -406,12 +411,13 @@ def row_labels(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, g
     # De-duplication and join share one shuffle of the texts.
     texts = docs.select(F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row_key"), "text").dropDuplicates(["row_key"])
     texts = texts.join(chosen, "row_key").select("node", "token", "block", "text")
-    placed = cut(_shingle_sets(texts, words))
-    sets = placed.select("node", "shingles")
+    placed = scratch.table("placed", texts)
+    sets = placed.select("node", "text")
     del texts
     release_shuffles(docs.sparkSession)
 
-    labels = cut(_local_labels(placed, num, den))
+    labels = cut(_local_labels(placed, words, num, den))
+    release_shuffles(docs.sparkSession)
 
     where = homes.withColumnsRenamed({"token": "g_token", "block": "g_block"})
     marked = cut(live.join(where, "node").join(labels, "node"))
@@ -421,11 +427,11 @@ def row_labels(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, g
     first = matrix.groupBy("token").agg(F.min("rep").alias("first"))
     reps = matrix.join(first, "token").filter("rep <> first").select("rep", "first").distinct()
     one, two = (
-        sets.join(labels, "node").select(F.col("node").alias(n), F.col("label").alias(label), F.col("shingles").alias(side))
-        for n, label, side in (("rep", "a", "left"), ("first", "b", "right"))
+        sets.join(labels, "node").select(F.col("node").alias(n), F.col("label").alias(label), F.col("text").alias(side))
+        for n, label, side in (("rep", "a", "text_left"), ("first", "b", "text_right"))
     )
-    pairs = reps.join(one, "rep").join(two, "first").filter("a <> b").select("a", "b", "left", "right")
-    labels = _relabel(labels, _pair_links(pairs, num, den))
+    pairs = reps.join(one, "rep").join(two, "first").filter("a <> b").select("a", "b", "text_left", "text_right")
+    labels = _relabel(labels, _pair_links(pairs, words, num, den))
 
     marked = marked.drop("label").join(labels, "node")
     matrix = cut(marked.groupBy("token", "g_token", "g_block").agg(F.min("label").alias("lo"), F.max("label").alias("hi")))
@@ -435,10 +441,10 @@ def row_labels(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, g
     opened = asked.join(matrix, "token").filter(elsewhere & unknown).select("node", "g_token", "g_block").distinct()
     opened = cut(opened.withColumnsRenamed({"g_token": "token", "g_block": "block"}))
     if not opened.isEmpty():
-        members = placed.join(opened.select("token", "block").distinct(), ["token", "block"]).select("token", "block", "node", "shingles", F.lit(False).alias("query"))
-        queries = opened.join(sets, "node").select("token", "block", "node", "shingles", F.lit(True).alias("query"))
+        members = placed.join(opened.select("token", "block").distinct(), ["token", "block"]).select("token", "block", "node", "text", F.lit(False).alias("query"))
+        queries = opened.join(sets, "node").select("token", "block", "node", "text", F.lit(True).alias("query"))
         cells = members.union(queries).join(labels, "node")
-        labels = _relabel(labels, _opened_links(cells.select("token", "block", "query", "label", "shingles"), num, den))
+        labels = _relabel(labels, _opened_links(cells.select("token", "block", "query", "label", "text"), words, num, den))
 
     known = labels.select(F.col("node").alias("l_node"), "label")
     return cut(ids.join(known, ids.node == known.l_node, "left").select("doc_id", "row_key", "n_shingles", F.coalesce("label", "node").alias("label")))
