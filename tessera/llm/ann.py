@@ -11,7 +11,8 @@ it. Pairs whose lower bound exceeds the query's k-th smallest upper bound cannot
 the k nearest; the others are computed again in double precision from the original vectors
 and go through a heap. A window over the cells' heaps gives the result, which is exact.
 
-Equal vectors of a block are compared once: only their ``k + 1`` smallest ids can matter.
+Equal vectors of a block are compared once: only their ``k + 1`` smallest ids can matter. Bounds and
+heaps count ids, each by its nearest vector in the block, so an id with many vectors takes one place.
 
 Results for special rows: a vector that is null, empty, zero or holds null or non-finite
 components, and a null id, take no part; rows repeated with one id and vector count once; if
@@ -69,11 +70,19 @@ def _distinct(ids: np.ndarray, x: np.ndarray, keep: int) -> np.ndarray:
     return order[place < keep]
 
 
+def _by_id(about: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The smallest value of each id's columns, which stand together."""
+    return np.minimum.reduceat(about, starts, axis=1)
+
+
 def nearest_in_cell(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int) -> list[tuple[int, int, float]]:
     """``(query_id, vec_id, distance)`` of the k nearest of each query inside the cell."""
     x = c + 0.0  # one zero, so that equal vectors have equal bytes
     at = _distinct(c_ids, x, k + 1)
+    at = at[np.argsort(c_ids[at], kind="stable")]
     c_ids, c = c_ids[at], x[at]
+    starts = np.concatenate(([0], np.flatnonzero(c_ids[1:] != c_ids[:-1]) + 1))
+    own = c_ids[starts]
     c8, c_scale, c_rest = quantise(c)
     c_norm = c_scale * np.sqrt((c8.astype(np.float64) ** 2).sum(axis=1))
     out = []
@@ -86,13 +95,22 @@ def nearest_in_cell(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.n
         slack = rest[:, None] + c_rest[None, :] + 1e-7 * (norm[:, None] + c_norm[None, :])
         about[ids[:, None] == c_ids[None, :]] = np.inf
         upper = about + slack
-        limit = np.partition(upper, k - 1, axis=1)[:, k - 1] if len(c_ids) > k else np.full(len(ids), np.inf)
+        limit = np.partition(_by_id(upper, starts), k - 1, axis=1)[:, k - 1] if len(own) > k else np.full(len(ids), np.inf)
         row, col = np.nonzero((about - slack <= limit[:, None]) & np.isfinite(about))
         heaps: dict[int, list[tuple[float, int]]] = {}
         for at in range(0, len(row), 65536):
             r, s = row[at : at + 65536], col[at : at + 65536]
-            for i, d, v in zip(r.tolist(), exact_distance(part[r], c[s]).tolist(), c_ids[s].tolist()):
+            d, v = exact_distance(part[r], c[s]), c_ids[s]
+            nearest_vector = np.lexsort((d, v, r))  # of an id only the nearest vector goes on
+            r, d, v = r[nearest_vector], d[nearest_vector], v[nearest_vector]
+            first = np.concatenate(([True], (r[1:] != r[:-1]) | (v[1:] != v[:-1])))
+            for i, d, v in zip(r[first].tolist(), d[first].tolist(), v[first].tolist()):
                 heap = heaps.setdefault(i, [])
+                if heap and any(-w == v for _, w in heap):  # the id's vectors reach over two slices of pairs
+                    kept = [(e, w) for e, w in heap if -w != v]
+                    d = min([d, *(-e for e, w in heap if -w == v)])
+                    heap[:] = kept
+                    heapq.heapify(heap)
                 if len(heap) < k:
                     heapq.heappush(heap, (-d, -v))
                 elif (-d, -v) > heap[0]:

@@ -17,6 +17,7 @@ product the scores. Memory is bounded by the batch, not by the text, because lon
 are read in segments that set ones in the same matrix row.
 
 Results for special rows: a null text, or one without a letter, is ``und`` with score 0;
+a text with letters but no n-gram of any landmark gets the first language with an even score;
 rows with a null language are not used for fitting but are scored; if nothing can be
 fitted all rows are ``und`` with score 0; a null id is scored like any other; repeated rows get equal
 results; other columns are ignored.
@@ -37,7 +38,6 @@ MAX_N = 3
 ROWS_PER_LANGUAGE = 400
 ROW_CHARS = 6000
 LANDMARKS_PER_LANGUAGE = 32
-MAX_FEATURES = 16384
 RIDGE = 1e-3
 SHARPNESS = 4.0
 BATCH = 64
@@ -72,22 +72,40 @@ def ngram_codes(a: np.ndarray, n: int) -> np.ndarray:
 
 
 class Model:
-    """Landmark matrix, regression weights and the n-gram table; a few MB, bounded by parameters."""
+    """Landmark matrix, regression weights and the n-gram table; bounded by the landmarks' number and length."""
 
     def __init__(self, languages: list[str], codes: np.ndarray, landmarks: np.ndarray, beta: np.ndarray, max_n: int):
         self.languages, self.codes, self.landmarks, self.beta, self.max_n = languages, codes, landmarks, beta, max_n
         self.table = None
 
-    def __getstate__(self):
-        return self.__dict__ | {"table": None, "letters": None}
+    def state(self) -> dict:
+        """What a model is made from again: lists and arrays, which need no class to unpickle."""
+        return {"languages": self.languages, "codes": self.codes, "landmarks": self.landmarks, "beta": self.beta, "max_n": self.max_n}
 
     def prepare(self) -> "Model":
         if self.table is None:
             self.letters = letter_table()
             self.table = np.full(1 << HASH_BITS, -1, np.int32)
             self.table[slot(self.codes)] = np.arange(len(self.codes), dtype=np.int32)
+            # Codes that share a slot with a later one are looked up in order.
+            lost = np.flatnonzero(self.table[slot(self.codes)] != np.arange(len(self.codes)))
+            self.rest = lost[np.argsort(self.codes[lost])]
+            self.crowded = np.zeros(1 << HASH_BITS, bool)
+            self.crowded[slot(self.codes[lost])] = True
         return self
 
+    def features(self, codes: np.ndarray) -> np.ndarray:
+        """Columns of the codes that are features."""
+        at = slot(codes)
+        found = self.table[at]
+        same = (found >= 0) & (self.codes[found] == codes)
+        missed = codes[~same & self.crowded[at]]
+        if not len(missed):
+            return found[same]
+        place = np.minimum(np.searchsorted(self.codes[self.rest], missed), len(self.rest) - 1)
+        more = self.rest[place][self.codes[self.rest[place]] == missed]
+        return np.concatenate((found[same], more))
+
     def presence(self, texts: list[str]) -> np.ndarray:
         """The 0/1 matrix of texts by features."""
         width = len(self.codes)
@@ -98,12 +116,7 @@ class Model:
                 # Segments overlap by more than the longest n-gram.
                 a = code_points(text[at : at + SEGMENT + 8], self.letters)
                 for n in range(1, self.max_n + 1):
-                    codes = ngram_codes(a, n)
-                    found = self.table[slot(codes)]
-                    hit = found >= 0
-                    found, codes = found[hit], codes[hit]
-                    found = found[self.codes[found] == codes]
-                    flat[row * width + found] = 1
+                    flat[row * width + self.features(ngram_codes(a, n))] = 1
         return out
 
     def kernel(self, texts: list[str]) -> np.ndarray:
@@ -138,12 +151,7 @@ def fit(texts: list[str], langs: list[str], max_n: int = MAX_N, landmarks: int =
             seen[code] = seen.get(code, 0) + 1
     least = 2 if len(marks) > 1 else 1
     ranked = sorted((c for c, k in seen.items() if k >= least), key=lambda c: (-seen[c], c)) or sorted(seen)
-    codes, used = [], set()
-    for c, s in zip(ranked, slot(np.array(ranked, np.uint64)).tolist()):
-        if s not in used and len(codes) < MAX_FEATURES:  # one feature a slot, the more frequent one
-            used.add(s)
-            codes.append(c)
-    model = Model(languages, np.array(codes, np.uint64), None, None, max_n).prepare()
+    model = Model(languages, np.array(ranked, np.uint64), None, None, max_n).prepare()
     p = model.presence([texts[i] for i in marks])
     model.landmarks = (p / np.sqrt(np.maximum(p.sum(axis=1, keepdims=True), 1))).T.copy()
     c = np.vstack([model.kernel(texts[i : i + BATCH]) for i in range(0, len(texts), BATCH)]).astype(np.float64)
@@ -180,11 +188,13 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """Add ``lang_pred`` and ``score`` to every row of ``docs`` (the text column must be ``text``)."""
     if model is None:
         return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # The state, not the model: a broadcast names the class of an instance, and executors need no copy of this package.
+    shared = docs.sparkSession.sparkContext.broadcast({"state": model.state()})
     schema = docs.limit(0).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value.prepare()
+        held = shared.value  # kept by a worker from one task to the next
+        model = held.get("model") or held.setdefault("model", Model(**held["state"]).prepare())
         for batch in batches:
             texts = batch.column("text").to_pylist()
             names, values = [UNKNOWN] * len(texts), [0.0] * len(texts)

@@ -126,6 +126,18 @@ class Model:
         return self.calibrated(self.vote(found)), found
 
 
+    def state(self) -> dict:
+        """What a model is made from again: plain values, which need no class to unpickle."""
+        return self.__dict__ | {"index": self.index.__dict__}
+
+    @classmethod
+    def of(cls, state: dict) -> Model:
+        model, index = cls.__new__(cls), Index.__new__(Index)
+        index.__dict__.update(state["index"])
+        model.__dict__.update(state | {"index": index})
+        return model
+
+
 def segments(text: str) -> Iterator[str]:
     """The whole text in parts of about ``SEGMENT`` characters that end at white space, if there is any."""
     at = 0
@@ -175,12 +187,14 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     evidence = "array<struct<doc_id:bigint,label:int,cosine:double>>"
     if model is None:
         return docs.drop("text").withColumns({"score": F.lit(0.0), "predicted": F.lit(0), "evidence": F.array().cast(evidence)})
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # The state, not the model: a broadcast names the class of an instance, and executors need no copy of this package.
+    shared = docs.sparkSession.sparkContext.broadcast({"state": model.state()})
     schema = docs.drop("text").limit(0).withColumns({"score": F.lit(0.0), "predicted": F.lit(0), "evidence": F.array().cast(evidence)}).schema
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        held = shared.value  # kept by a worker from one task to the next
+        model = held.get("model") or held.setdefault("model", Model.of(held["state"]))
         for batch in batches:
             found = [model.score(t) for t in batch.column("text").to_pylist()]
             rows = [[{"doc_id": model.ids[i], "label": model.labels[i], "cosine": c} for c, i in near] for _, near in found]

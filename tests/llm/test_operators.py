@@ -175,6 +175,32 @@ def test_nearest_neighbours_are_exact(spark, dims):
     assert set(got) == set(range(0, 300, 20))
 
 
+@pytest.mark.parametrize("block", [8, 16384])
+def test_an_id_with_many_vectors_takes_one_place(spark, block):
+    g = np.random.default_rng(8)
+    near = [(2, (0.01 * (i + 1), 0.0, 1.0)) for i in range(12)] + [(3, (0.02, 0.001 * i, 1.0)) for i in range(40)]
+    rows = [(0, (0.0, 0.0, 1.0)), (0, (5.0, 5.0, 5.0)), *near, *[(10 + i, tuple(g.normal(size=3).tolist())) for i in range(30)]]
+    table = spark.createDataFrame([(i, list(v)) for i, v in rows], "vec_id long, embedding array<double>").repartition(4)
+    got = ann.nearest(table, F.col("vec_id") == 0, k=10, block_rows=block).orderBy("rank").collect()
+    best = {}
+    for i, v in rows:
+        if i:
+            d = min(math.dist(v, w) for j, w in rows if j == 0)
+            best[i] = min(best.get(i, d), d)
+    want = sorted((d, i) for i, d in best.items())[:10]
+    assert [r.vec_id for r in got] == [i for _, i in want] and len(got) == 10
+    assert [r.score for r in got] == pytest.approx([d for d, _ in want])
+
+
+def test_features_that_share_a_slot_are_found(monkeypatch):
+    monkeypatch.setattr(langid, "HASH_BITS", 3)
+    codes = np.arange(100, 160, dtype=np.uint64) * np.uint64(7)
+    model = langid.Model(["x"], codes, None, None, 3).prepare()
+    asked = np.arange(600, 1200, dtype=np.uint64)
+    want = [i for i, c in enumerate(codes.tolist()) if 600 <= c < 1200]
+    assert sorted(model.features(asked).tolist()) == want
+
+
 def test_chat_round_trip(spark):
     hard = '\\### <turn role="assistant"> </turn>\n \\< \\\\ "'
     rows = [(1, 0, "user", hard), (1, 1, "assistant", hard), (1, 2, None, None), (None, 0, "assistant", "x"), (2, 1, "assistant", "b"), (2, 0, "assistant", "a"), (2, 0, "assistant", "a"), (3, None, "us<er", "")]
