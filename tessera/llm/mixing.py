@@ -1,21 +1,24 @@
 """Mixing sources to target weights.
 
 Word counts are summed per source, each source's target gives its repetition rate, and
-every document is taken ``floor(rate)`` times plus one more time when its hash-seeded
-draw falls below the fraction.
+every document is taken ``floor(rate)`` times plus one more time with a probability equal to
+the fraction, decided by a hash.
 
-The draw of a document is fixed by its id and text. ``TRIALS`` rotations of that draw are
-summed per source in one aggregation, and each source uses the rotation whose total lies
-nearest its target; every rotation takes each document with the same probability.
+The extra copies are a systematic sample along the sizes, so that a source's words come near its target
+while every document keeps its probability. The documents of a source stand in order of size; with
+a start between 0 and 1 from the hash of the source's name, ``n`` documents have
+``floor(start + n * fraction)`` extra copies in all. That gives the number of copies of each size, and of the
+documents of a size those with the smallest draws get them. A document's draw is fixed by its id and text.
 
-Only sums per source are gathered (combined map-side, so a source with a third of all
-rows costs one row per task). The table of sources is broadcast while it has at most
-``BROADCAST_SOURCES`` rows and joined by Spark's own choice beyond that.
+Gathered are sums per source, counts per source and size, and counts per source, size and draw (all
+combined map-side, so a source, a size or a repeated row with a third of all rows costs one row per
+task). The smallest draws of a size are found by counting ranges of draws first, so no task
+sorts all documents of a size. How tables are joined is Spark's own choice by their size.
 
 Results for special rows: a null text has size 0; a null source is a source of its own
 and comes last in the order of weights; a null id draws by its text; repeated rows get
-equal draws; an empty table gives no rows; a source without words has target 0; other
-columns are carried by :func:`mix_documents` and clash with none of its own.
+equal draws, and so one extra copy each or none; an empty table gives no rows; a source without words
+has target 0; other columns are carried by :func:`mix_documents` and clash with none of its own.
 """
 
 from __future__ import annotations
@@ -29,11 +32,9 @@ from .common import WORD, cut, same
 
 WEIGHTS = (5, 2, 1)
 MAX_RATE = 3
-TRIALS = 16
-BROADCAST_SOURCES = 10_000
-#: Draws are integers below 2**52; a rotation adds a multiple of STEP.
+#: Draws are integers below 2**52, counted by their leading bits first.
 DRAWS = 1 << 52
-STEP = 2783194846093735
+RANGE_BITS = 10
 
 
 def word_count(text: Column) -> Column:
@@ -46,13 +47,6 @@ def draw(doc_id: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("long")
 
 
-def _copies(trial: Column | int) -> Column:
-    u = (F.col("u") + trial * F.lit(STEP)) % F.lit(DRAWS)
-    whole = F.floor("rate")
-    extra = F.when(u < (F.col("rate") - whole) * F.lit(float(DRAWS)), 1).otherwise(0)
-    return F.coalesce(whole + extra, F.lit(0)).cast("long")
-
-
 def source_targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, max_rate: int = MAX_RATE) -> DataFrame:
     """Targets of ``sources(source, source_size)``: shares of the total by weight, at most
     ``max_rate`` times a source's size, the excess shared again by weight.
@@ -79,30 +73,62 @@ def source_targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, max_rat
     return s.select("source", "source_size", F.least(target, F.lit(float(max_rate)) * F.col("source_size")).alias("target"))
 
 
+def start_of(source: Column) -> Column:
+    """Where a source's systematic sample starts, at least 0 and below 1, by the hash of its name."""
+    return draw(F.lit("start"), source).cast("double") / F.lit(float(DRAWS))
+
+
 def mixing_plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_rate: int = MAX_RATE) -> DataFrame:
-    """``(source, source_size, target, rate, trial)`` for ``rows(source, size, u)``."""
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    """``(source, size, source_size, target, whole, last)`` for ``rows(source, size, u)``: documents of
+    that source and size are taken ``whole`` times, and once more if their draw is at most ``last``."""
+    counts = cut(rows.groupBy("source", "size", "u").agg(F.count(F.lit(1)).alias("c")))
+    sizes = cut(counts.groupBy("source", "size").agg(F.sum("c").alias("m")))
+    sources = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("source_size"))
     targets = source_targets(sources, weights, max_rate)
-    targets = cut(targets.withColumn("rate", F.least(F.try_divide("target", "source_size"), F.lit(float(max_rate)))))
-    taken = [F.sum(F.col("size") * _copies(t)).alias(f"t{t}") for t in range(TRIALS)]
-    sums = attach(rows, targets).groupBy("source").agg(F.first("target").alias("target"), *taken)
-    nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{t}") - F.col("target")).alias("off"), F.lit(t).alias("trial")) for t in range(TRIALS)]))
-    best = sums.select(F.col("source").alias("__name"), nearest["trial"].alias("trial"))
-    return cut(targets.join(best, same(F.col("source"), F.col("__name"))).drop("__name"))
+    targets = targets.withColumn("rate", F.coalesce(F.least(F.try_divide("target", "source_size"), F.lit(float(max_rate))), F.lit(0.0)))
+    targets = cut(targets.withColumns({"whole": F.floor("rate"), "start": start_of(F.col("source"))}))
+
+    before = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
+    plan = attach(sizes.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0))), targets, ["source"])
+    share = F.col("rate") - F.col("whole")
+
+    def copies_of(n: Column) -> Column:
+        return F.floor(F.col("start") + n * share)
+
+    plan = cut(plan.withColumn("q", copies_of(F.col("before") + F.col("m")) - copies_of(F.col("before"))))
+
+    # The q-th smallest draw of each size: first the range of draws that holds it, then the draw.
+    cell = ["source", "size"]
+    width = F.lit(DRAWS >> RANGE_BITS)
+    partly = plan.filter("q > 0 AND q < m").select("source", "size", "q")
+    inside = attach(counts, partly, cell).withColumn("part", F.floor(F.col("u") / width))
+    ranges = inside.groupBy(*cell, "q", "part").agg(F.sum("c").alias("c"))
+    ranges = ranges.withColumn("upto", F.sum("c").over(Window.partitionBy(*cell).orderBy("part")))
+    holding = ranges.filter((F.col("upto") >= F.col("q")) & (F.col("upto") - F.col("c") < F.col("q")))
+    holding = holding.select(*cell, "part", (F.col("q") - (F.col("upto") - F.col("c"))).alias("left"))
+    near = attach(inside.drop("q"), holding, [*cell, "part"])
+    near = near.withColumn("upto", F.sum("c").over(Window.partitionBy(*cell).orderBy("u")))
+    last = near.filter("upto >= left").groupBy(*cell).agg(F.min("u").alias("last"))
+    plan = attach(plan, last, cell, "left")
+    last = F.when(F.col("q") <= 0, -1).when(F.col("q") >= F.col("m"), DRAWS).otherwise(F.col("last"))
+    return cut(plan.select("source", "size", "source_size", "target", "whole", last.cast("long").alias("last")))
+
+
+def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join the columns of ``table`` to rows by ``keys``, null-safely."""
+    table = table.withColumnsRenamed({k: f"__{k}" for k in keys})
+    joined = rows.join(table, [same(F.col(k), F.col(f"__{k}")) for k in keys], how)
+    return joined.drop(*[f"__{k}" for k in keys])
 
 
-def attach(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Join the columns of ``plan`` to rows by source."""
-    plan = plan.withColumnRenamed("source", "__name")
-    if plan.count() <= BROADCAST_SOURCES:
-        plan = F.broadcast(plan)
-    return rows.join(plan, same(F.col("source"), F.col("__name"))).drop("__name")
+def _copies() -> Column:
+    return (F.col("whole") + (F.col("u") <= F.col("last")).cast("long")).cast("long")
 
 
 def mix_sizes(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_rate: int = MAX_RATE) -> DataFrame:
     """Per document: ``doc_id, size, source_size, target, taken`` and its ``copies``."""
     rows = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text")).alias("u")))
-    mixed = attach(rows, mixing_plan(rows, weights, max_rate)).withColumn("copies", _copies(F.col("trial")))
+    mixed = attach(rows, mixing_plan(rows, weights, max_rate), ["source", "size"]).withColumn("copies", _copies())
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
@@ -113,7 +139,7 @@ def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_rate: i
         word_count(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text")).alias("u"),
     )
     plan = mixing_plan(cut(drawn.drop("row")), weights, max_rate)
-    mixed = attach(drawn, plan).select("row", _copies(F.col("trial")).alias("copies")).filter("copies > 0")
+    mixed = attach(drawn, plan, ["source", "size"]).select("row", _copies().alias("copies")).filter("copies > 0")
     return mixed.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
@@ -134,13 +160,15 @@ t AS (
   SELECT source, source_size, least(CASE WHEN ratio >= final_ratio THEN weight * final_level ELSE 3.0::DOUBLE * source_size END,
                                     3.0::DOUBLE * source_size) AS target
   FROM l LEFT JOIN f ON true),
-p AS (SELECT *, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0::DOUBLE) END AS rate FROM t),
-c AS (
-  SELECT d.doc_id, d.source, d.size, p.source_size, p.target, k.k,
-         coalesce(floor(rate)::BIGINT + CASE WHEN (u + k.k * {STEP}) % {DRAWS} < (rate - floor(rate)) * {DRAWS}::DOUBLE THEN 1 ELSE 0 END, 0) AS copies
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source CROSS JOIN (SELECT unnest(range({TRIALS})) AS k) k),
-g AS (SELECT source, k, abs(sum(size * copies) - any_value(target)) AS off FROM c GROUP BY source, k),
-b AS (SELECT source, k FROM g QUALIFY row_number() OVER (PARTITION BY source ORDER BY off, k) = 1)
-SELECT c.doc_id, c.size, c.source_size, c.target, (c.size * c.copies)::BIGINT AS taken
-FROM c JOIN b ON c.source IS NOT DISTINCT FROM b.source AND c.k = b.k
+p AS (SELECT *, coalesce(CASE WHEN source_size > 0 THEN least(target / source_size, 3.0::DOUBLE) END, 0.0::DOUBLE) AS rate,
+             CAST('0x' || substr(md5('start:' || coalesce(source, '')), 1, 13) AS BIGINT)::DOUBLE / {DRAWS}.0::DOUBLE AS start FROM t),
+m AS (SELECT source, size, count(*) AS m FROM d GROUP BY source, size),
+b AS (SELECT *, coalesce(sum(m) OVER (PARTITION BY source ORDER BY size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM m),
+q AS (
+  SELECT b.source, b.size, p.source_size, p.target, floor(rate)::BIGINT AS whole,
+         floor(start + (before + m) * (rate - floor(rate))) - floor(start + before * (rate - floor(rate))) AS q
+  FROM b JOIN p ON b.source IS NOT DISTINCT FROM p.source),
+z AS (SELECT *, rank() OVER (PARTITION BY source, size ORDER BY u) AS k FROM d)
+SELECT z.doc_id, z.size, q.source_size, q.target, (z.size * (whole + CASE WHEN k <= q.q THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM z JOIN q ON z.source IS NOT DISTINCT FROM q.source AND z.size = q.size
 """

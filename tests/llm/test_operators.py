@@ -107,6 +107,35 @@ def test_mixing_targets_and_rates(spark):
     assert mixing.mix_documents(documents(spark, rows)).count() == sum(r.copies for r in got)
 
 
+def test_mixing_keeps_the_probability_of_small_sources(spark):
+    # 300 sources of one document each: rates 0.375 (weight 5), 0.15 (weight 2) and 0.075 (weight 1), and the rest in one large source.
+    rows = [(i, prose(i, 8), None, f"s{i:04d}") for i in range(900)] + [(1000 + i, prose(i, 40), None, "zz") for i in range(30)]
+    got = mixing.mix_sizes(documents(spark, rows)).collect()
+    by_rate = collections.defaultdict(list)
+    for r in got:
+        if r.doc_id < 1000:
+            by_rate[round(r.target / r.source_size, 6)].append(r.copies)
+    assert len(by_rate) == 3
+    for rate, copies in by_rate.items():
+        share = rate - math.floor(rate)
+        assert set(copies) <= {math.floor(rate), math.floor(rate) + 1}
+        assert abs(sum(copies) / len(copies) - rate) <= 4 * math.sqrt(share * (1 - share) / len(copies)) + 1e-9
+
+
+@pytest.mark.parametrize("bits", [0, 3, 10])
+def test_mixing_is_systematic_along_sizes(spark, bits, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_BITS", bits)
+    rows = [(i, prose(i, 1 + i % 9), None, "ab"[i % 5 == 0]) for i in range(600)] + [(7000, "x " * 900, None, "a"), (7001, None, None, "b")] + [(5, "same words", None, "a")] * 40
+    got = mixing.mix_sizes(documents(spark, rows)).collect()
+    again = mixing.mix_sizes(documents(spark, rows).repartition(7)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    assert len({r.copies for r in got if r.doc_id == 5 and r.size == 2}) == 1
+    for target in {r.target for r in got}:
+        own = [r for r in got if r.target == target]
+        # Off by no more than the largest document, and the repeated rows, which go together.
+        assert abs(sum(r.taken for r in own) - target) <= max(r.size for r in own) + 80
+
+
 def test_language_id(spark):
     parts = {"x": ["ab", "ra", "ka"], "y": ["ulo", "mi", "tem"]}
     r = random.Random(3)
