@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..constants import KMEANS_ETA, KMEANS_MAX_ITERATIONS
 from ..functions.geometry import (
@@ -32,11 +33,15 @@ from ..functions.geometry import (
     point_distance_py,
     squared_distance,
 )
+from ..functions.literals import struct_array
 from ..schemas import CENTRE, KMEANS_TRACE
 from ..session import literal_frame, materialize, release
 from .postings import weighted_vectors
 
 
+MOVE = StructType([StructField(c, IntegerType()) for c in ("ox", "oy", "nx", "ny")])
+
+
 class EmptyClusterError(RuntimeError):
     """A centre attracted no point during a k-means step."""
 
@@ -76,6 +81,16 @@ def point_distance(points: DataFrame, centres: Sequence[Point]) -> DataFrame:
     return points.select("x", "y", F.inline(F.expr(distances_sql(centres, fields))))
 
 
+def assigned_distance(points: DataFrame, centres: Sequence[Point]) -> DataFrame:
+    """``(x, y, cx, cy, distance)``: each point, its nearest centre and the squared distance to it.
+
+    One row per point, where :func:`point_distance` has one per point and centre.
+    """
+    return assign(points.select("x", "y"), centres).select(
+        "x", "y", "cx", "cy", squared_distance(F.col("x"), F.col("y"), F.col("cx"), F.col("cy")).alias("distance")
+    )
+
+
 def average_vectors(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean point per group of ``by``: ``(*by, x, y, n)``, coordinates truncated toward zero.
 
@@ -193,6 +208,19 @@ def kmeans(
             release(table)
 
 
+def centers_distance_of(spark: SparkSession, old: Sequence[Point], new: Sequence[Point]) -> DataFrame:
+    """One row ``distance``: the summed squared move between two centre lists of equal length.
+
+    The lists are one array literal that an expression folds, so nothing is joined or shuffled.
+    """
+    old, new = check_centres(old), check_centres(new)
+    if len(old) != len(new):
+        raise ValueError("centre lists differ in length")
+    moves = struct_array([(a[0], a[1], b[0], b[1]) for a, b in zip(old, new)], MOVE)
+    total = F.aggregate(moves, F.lit(0.0), lambda acc, m: acc + squared_distance(m["ox"], m["oy"], m["nx"], m["ny"]))
+    return spark.range(1).select(total.alias("distance"))
+
+
 def centers_distance(old: DataFrame, new: DataFrame) -> DataFrame:
     """One row ``distance``: summed squared move between two ``(pos, x, y)`` centre tables.
 

@@ -2,8 +2,8 @@
 
 Every query reads the supplied tables whole (no id subsets, no row caps).
 The clustering keys share one preparation: the vectors are reduced to
-``(x, y, n)`` and cut from their lineage once, the starting centres are
-drawn from that table, and k-means runs over it.
+``(x, y, n)``, the starting centres are drawn from that table, and k-means runs over it. What a
+key materializes on the way is gone when it returns.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates, clusters, postings, ranking, sampling, survey
 from ..operators import clustering as km
 from ..schemas import CENTRE_MOVE
-from ..session import literal_frame, materialize
+from ..session import QueryScope, literal_frame
 from ..sources.survey import survey_typed
 from . import bindings as B
 
@@ -134,9 +134,13 @@ def vector_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- sampling and k-means ----------------------------------------------------
 
 
-def clustering_points(spark: SparkSession, sf_dir: str, spread: int = B.CLUSTER_SPREAD) -> DataFrame:
-    """Weighted vectors ``(x, y, n)``, computed once and cut from their lineage."""
-    return materialize(postings.weighted_vectors(B.vectors(spark, sf_dir, spread)))
+def weighted_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted vectors ``(x, y, n)``, a lazy plan over the supplied tables."""
+    return postings.weighted_vectors(B.vectors(spark, sf_dir, B.CLUSTER_SPREAD))
+
+
+def starting_centres(points: DataFrame) -> list:
+    return sampling.take_centres(starting_sample(points))
 
 
 def starting_sample(points: DataFrame) -> DataFrame:
@@ -169,74 +173,74 @@ def sample_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_global(vectors, B.CLUSTER_KERNELS, B.CLUSTER_SEED)
 
 
+# Keys whose result grows with the points read the tables once for the centres and once for the result.
+# The others have at most a row per centre: they run inside a scope, on points that are computed
+# once, and nothing of it is left when the key returns.
+
+
 @query("point_distance")
 def point_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = clustering_points(spark, sf_dir)
-    centres = sampling.take_centres(starting_sample(points))
-    return km.point_distance(sampling.distinct_vectors(points), centres)
+    points = weighted_points(spark, sf_dir)
+    return km.assigned_distance(points, starting_centres(points))
 
 
 @query("nearest_center")
 def nearest_center(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = clustering_points(spark, sf_dir)
-    centres = sampling.take_centres(starting_sample(points))
-    return km.nearest_center(sampling.distinct_vectors(points), centres)
+    points = weighted_points(spark, sf_dir)
+    return km.nearest_center(points, starting_centres(points))
 
 
 @query("average_vectors")
 def average_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = clustering_points(spark, sf_dir)
-    centres = sampling.take_centres(starting_sample(points))
-    assigned = km.assign(points, centres)
-    return km.average_vectors(assigned, by=("cx", "cy"))
+    with QueryScope() as scope:
+        points = scope.materialize(weighted_points(spark, sf_dir))
+        assigned = km.assign(points, starting_centres(points))
+        return scope.result(km.average_vectors(assigned, by=("cx", "cy")), B.CLUSTER_KERNELS)
 
 
 @query("kmeans_step")
 def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = clustering_points(spark, sf_dir)
-    centres = sampling.take_centres(starting_sample(points))
-    new = km.kmeans_step(points, centres)
+    with QueryScope() as scope:
+        points = scope.materialize(weighted_points(spark, sf_dir))
+        centres = starting_centres(points)
+        new = km.kmeans_step(points, centres)
     rows = [(i, o[0], o[1], n[0], n[1]) for i, (o, n) in enumerate(zip(centres, new))]
     return literal_frame(spark, rows, CENTRE_MOVE)
 
 
 @query("centers_distance")
 def centers_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = clustering_points(spark, sf_dir)
-    centres = sampling.take_centres(starting_sample(points))
-    moved = km.centres_frame(spark, km.kmeans_step(points, centres))
-    return km.centers_distance(km.centres_frame(spark, centres), moved)
+    with QueryScope() as scope:
+        points = scope.materialize(weighted_points(spark, sf_dir))
+        centres = starting_centres(points)
+        return km.centers_distance_of(spark, centres, km.kmeans_step(points, centres))
 
 
 @query("kmeans")
 def kmeans_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = clustering_points(spark, sf_dir)
-    centres = sampling.take_centres(starting_sample(points))
-    return run_kmeans(points, centres).centres_frame(spark)
+    with QueryScope() as scope:
+        points = scope.materialize(weighted_points(spark, sf_dir))
+        return run_kmeans(points, starting_centres(points)).centres_frame(spark)
 
 
 @query("kmeans_trace")
 def kmeans_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = clustering_points(spark, sf_dir)
-    centres = sampling.take_centres(starting_sample(points))
-    return run_kmeans(points, centres).trace_frame(spark)
-
-
-def final_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = clustering_points(spark, sf_dir)
-    centres = sampling.take_centres(starting_sample(points))
-    result = run_kmeans(points, centres)
-    return clusters.cluster_results(result.centres, points, B.TAG_TERMS, B.CLUSTER_SPREAD)
+    with QueryScope() as scope:
+        points = scope.materialize(weighted_points(spark, sf_dir))
+        return run_kmeans(points, starting_centres(points)).trace_frame(spark)
 
 
 @query("cluster_results")
 def cluster_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return final_clusters(spark, sf_dir)
+    with QueryScope() as scope:
+        points = scope.materialize(weighted_points(spark, sf_dir))
+        result = run_kmeans(points, starting_centres(points))
+        return scope.result(clusters.cluster_results(result.centres, points, B.TAG_TERMS, B.CLUSTER_SPREAD), B.CLUSTER_KERNELS)
 
 
 @query("cluster_report")
 def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters.cluster_report(final_clusters(spark, sf_dir))
+    return clusters.cluster_report(cluster_results(spark, sf_dir))
 
 
 # -- time-use survey -----------------------------------------------------------

@@ -333,8 +333,8 @@ def _build() -> dict[str, str]:
             "vectors_small",
         ),
         "point_distance": C.sql(
-            f"SELECT d.x, d.y, c.pos, c.x AS cx, c.y AS cy, {_dist('d', 'c')} AS distance"
-            " FROM dv d CROSS JOIN start c",
+            "SELECT x, y, cx, cy, (CAST(x AS DOUBLE) - cx) * (CAST(x AS DOUBLE) - cx)"
+            f" + (CAST(y AS DOUBLE) - cy) * (CAST(y AS DOUBLE) - cy) AS distance FROM ({_nearest('dv', 'start')})",
             "dv",
             "start",
         ),

@@ -22,7 +22,7 @@ from .constants import (
     SAMPLE_SEED,
 )
 from .operators import clustering, clusters, postings, ranking, sampling, survey
-from .session import materialize
+from .session import QueryScope
 from .sources import parse_articles, parse_postings, read_lines, read_survey
 
 
@@ -70,16 +70,16 @@ def cluster_posting_file(
     """Posting lines at ``path`` -> vectors -> starting centres -> k-means -> report.
 
     The vectors are reduced to ``(x, y, n)`` once and cut from their lineage;
-    sampling, every k-means step and the report read that table.
+    sampling, every k-means step and the report read that table, which is gone when this returns.
     """
-    points = materialize(postings.weighted_vectors(
-        postings.question_vectors(parse_postings(read_lines(spark, path)), langs, spread)
-    ))
-    centres = sampling.take_centres(sampling.sample_vectors(points, langs, kernels, spread, seed))
-    result = clustering.kmeans(
-        points, centres, eta=eta, max_iterations=max_iterations, on_empty=on_empty, debug=debug, cache_points=False
-    )
-    results = clusters.cluster_results(result.centres, points, langs, spread)
+    with QueryScope() as scope:
+        vectors = postings.question_vectors(parse_postings(read_lines(spark, path)), langs, spread)
+        points = scope.materialize(postings.weighted_vectors(vectors))
+        centres = sampling.take_centres(sampling.sample_vectors(points, langs, kernels, spread, seed))
+        result = clustering.kmeans(
+            points, centres, eta=eta, max_iterations=max_iterations, on_empty=on_empty, debug=debug, cache_points=False
+        )
+        results = scope.result(clusters.cluster_results(result.centres, points, langs, spread), kernels)
     return Clustering(kmeans=result, results=results, report=clusters.cluster_report(results))
 
 

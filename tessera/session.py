@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -97,28 +97,64 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage for repeated passes.
+    """Compute ``df`` once and cut its lineage for repeated passes; :func:`release` ends it.
 
-    With a checkpoint folder configured the result is written there
-    (reliable checkpoint: it survives executor loss without recomputing the
-    upstream joins). Without one it is persisted to memory and disk; a lost
+    With a checkpoint folder configured the result is written there as
+    Parquet, which survives executor loss without recomputing the
+    upstream joins, and read again. Without one it is persisted to memory and disk; a lost
     block is then rebuilt from lineage, which is slower but still correct.
     """
-    if checkpoint_dir(df.sparkSession):
-        # Writing a checkpoint recomputes its input unless that input is
-        # cached, so cache for the duration of the write only.
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return cached.checkpoint(eager=True)
-        finally:
-            cached.unpersist()
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    folder = checkpoint_dir(df.sparkSession)
+    if folder is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = f"{folder.rstrip('/')}/materialized-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._materialized_path = path
+    return table
 
 
 def release(df: DataFrame) -> None:
-    """Drop a cached result produced by :func:`materialize` (checkpoint files stay)."""
+    """Drop a result of :func:`materialize`: its cached blocks, or its files in the shared folder.
+
+    Plans that still read it fail afterwards. Other DataFrames are left as they are, and releasing twice does no harm.
+    """
     if df.storageLevel != StorageLevel.NONE:
         df.unpersist()
+    path = df.__dict__.pop("_materialized_path", None)
+    if path is not None:
+        context = df.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class QueryScope:
+    """The tables that one query materializes; all of them go when the query ends.
+
+    ``with QueryScope() as scope: points = scope.materialize(df)``. What is returned from
+    the block must not read them any more: see :meth:`result`.
+    """
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def materialize(self, df: DataFrame) -> DataFrame:
+        self.tables.append(materialize(df))
+        return self.tables[-1]
+
+    def result(self, df: DataFrame, most_rows: int) -> DataFrame:
+        """``df`` computed now, as a literal, for results bounded by a parameter (at most ``most_rows`` rows)."""
+        rows = df.take(most_rows + 1)
+        if len(rows) > most_rows:
+            raise ValueError(f"the result has more than {most_rows} rows")
+        return literal_frame(df.sparkSession, rows, df.schema)
+
+    def __enter__(self) -> QueryScope:
+        return self
+
+    def __exit__(self, *_) -> None:
+        while self.tables:
+            release(self.tables.pop())
 
 
 def literal_frame(spark: SparkSession, rows: Sequence[Sequence], schema: StructType) -> DataFrame:

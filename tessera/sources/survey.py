@@ -2,24 +2,51 @@
 
 from __future__ import annotations
 
+import csv
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from ..functions.casts import strict_cast
 
+#: Labour-force status, sex and age.
+DEMOGRAPHIC_COLUMNS = ("telfs", "tesex", "teage")
+
+
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    """Column names from the header line of a CSV; one line is read."""
+    first = spark.read.text(path).head()
+    if first is None:
+        raise ValueError(f"no header line in {path}")
+    return next(csv.reader([first["value"]]))
+
+
+def survey_schema(columns: Sequence[str]) -> StructType:
+    """The types that a survey column's name implies.
+
+    The first column is the case id (bigint); minute columns (``t`` and digits) and the demographic
+    codes are integers; any other column, such as a weight, is a double.
+    """
+    first, *rest = columns
+    kinds = [IntegerType() if re.fullmatch(r"t\d+", c) or c in DEMOGRAPHIC_COLUMNS else DoubleType() for c in rest]
+    return StructType([StructField(first, LongType()), *[StructField(c, k) for c, k in zip(rest, kinds)]])
+
 
 def read_survey(
     spark: SparkSession, path: str, schema: StructType | str | None = None
 ) -> tuple[list[str], DataFrame]:
     """Read a headed CSV; returns ``(column names, DataFrame)``.
 
-    Without ``schema`` the types are inferred, which costs an extra pass over
-    the file; on large inputs pass the schema.
+    Without ``schema`` the types follow from the names in the header line
+    (:func:`survey_schema`), so the file is scanned once, when the result is used. A
+    value that is not of its column's type fails the job; a blank is null.
     """
-    reader = spark.read.option("header", "true")
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
-    df = reader.csv(path)
+    if schema is None:
+        schema = survey_schema(header_of(spark, path))
+    df = spark.read.schema(schema).option("header", "true").option("mode", "FAILFAST").csv(path)
     return list(df.columns), df
 
 

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import random
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
+from tessera.functions import geometry
+from tessera.functions.geometry import CentreGrid
 from tessera.operators.clustering import (
     EmptyClusterError,
+    assigned_distance,
     average_vectors,
     centers_distance,
+    centers_distance_of,
     centres_frame,
     kmeans,
     kmeans_step,
@@ -142,3 +150,47 @@ def test_a_step_with_many_centres_equals_brute_force(spark, k):
     for p in points:
         best = min(centres, key=lambda c: (p[0] - c[0]) ** 2 + (p[1] - c[1]) ** 2)
         assert got[p] == best
+
+
+@pytest.mark.parametrize("seed, k, scale", [(1, 300, (50000, 1)), (2, 3000, (1, 1)), (3, 700, (1, 300))])
+def test_grid_of_centres_equals_the_linear_walk(spark, seed, k, scale):
+    r = random.Random(seed)
+    centres = [(r.randrange(15) * scale[0] - 3 * scale[0], r.randrange(-400, 400) * scale[1]) for _ in range(k)]
+    centres += centres[:20]  # equal centres: the first counts
+    points = [(r.randrange(-20, 30) * scale[0] + r.randrange(3), r.randrange(-900, 900) * scale[1]) for _ in range(600)] + centres[:200]
+    points += [(cx + 1, cy) for cx, cy in centres[:50]] + [(-(1 << 31), 1 << 30), ((1 << 31) - 1, -5)]
+    table = spark.createDataFrame(points, "x int, y int")
+    grid = table.select("x", "y", CentreGrid(centres).nearest("x", "y").alias("c")).select("x", "y", "c.*")
+    walk = table.select("x", "y", geometry._walk(centres, "x", "y").alias("c")).select("x", "y", "c.*")
+    assert grid.dtypes == walk.dtypes
+    assert sorted(map(tuple, grid.collect())) == sorted(map(tuple, walk.collect()))
+
+
+def test_few_candidates_a_cell():
+    r = random.Random(4)
+    grid = CentreGrid([(r.randrange(100000), r.randrange(100000)) for _ in range(3000)])
+    sizes = [len(c) for c in grid.cells]
+    assert min(sizes) >= 1 and sum(sizes) / len(sizes) < 60
+
+
+def test_grid_is_faster_than_the_walk(spark):
+    r = random.Random(6)
+    centres = [(r.randrange(100000), r.randrange(100000)) for _ in range(3000)]
+    points = spark.range(0, 20_000, 1, 4).select((F.col("id") * 7919 % 100000).cast("int").alias("x"), (F.col("id") * 104729 % 100000).cast("int").alias("y"))
+    took = {}
+    for name, nearest in (("grid", CentreGrid(centres).nearest("x", "y")), ("walk", geometry._walk(centres, "x", "y"))):
+        started = time.perf_counter()
+        total = points.select(nearest["pos"].cast("long").alias("p")).agg(F.sum("p")).first()[0]
+        took[name] = (total, time.perf_counter() - started)
+    assert took["grid"][0] == took["walk"][0] and took["grid"][1] < took["walk"][1]
+
+
+def test_one_row_a_point_and_distance_of_centre_lists(spark):
+    table = spark.createDataFrame([(0, 0), (9, 0), (5, 1)], "x int, y int")
+    got = sorted(tuple(x) for x in assigned_distance(table, [(0, 0), (10, 0)]).collect())
+    assert got == [(0, 0, 0, 0, 0.0), (5, 1, 0, 0, 26.0), (9, 0, 10, 0, 1.0)]
+    moved = centers_distance_of(spark, [(0, 0), (5, 5)], [(3, 4), (5, 5)])
+    assert moved.first().distance == 25.0
+    assert "Exchange" not in moved._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="length"):
+        centers_distance_of(spark, [(0, 0)], [(0, 0), (1, 1)])

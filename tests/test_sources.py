@@ -97,7 +97,7 @@ def test_parse_postings_fails_whatever_the_ansi_setting(spark):
         spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
-def test_read_survey_infers_types_and_returns_columns(spark, tmp_dir):
+def test_read_survey_takes_types_from_the_header_and_returns_columns(spark, tmp_dir):
     path = os.path.join(tmp_dir, "survey.csv")
     with open(path, "w") as f:
         f.write("tucaseid,telfs,tesex,teage,t010101,t050101\n")
@@ -110,6 +110,32 @@ def test_read_survey_infers_types_and_returns_columns(spark, tmp_dir):
     columns2, df2 = read_survey(spark, path, schema="tucaseid string, telfs int, tesex int, teage int, t010101 int, t050101 int")
     assert columns2 == columns
     assert df2.collect() == df.withColumn("tucaseid", df.tucaseid.cast("string")).collect()
+    inferred = spark.read.csv(path, header=True, inferSchema=True)
+    assert df.dtypes == inferred.dtypes and df.collect() == inferred.collect()
+
+
+def test_read_survey_scans_the_file_once(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "survey.csv")
+    with open(path, "w") as f:
+        f.write('tucaseid,"telfs",tesex,teage,t010101,tufnwgtp\n')
+        f.write("1,2,1,22,60,8155462.672158\n2,,2,30,0,1\n")
+    kind, lines = type(spark.range(1)), []
+    head = kind.head
+    monkeypatch.setattr(kind, "head", lambda df, *n: lines.append(df.columns) or head(df, *n))
+    columns, df = read_survey(spark, path)
+    assert lines == [["value"]]  # the header line is all that was read
+    assert columns == ["tucaseid", "telfs", "tesex", "teage", "t010101", "tufnwgtp"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    assert [tuple(r) for r in df.collect()] == [(1, 2, 1, 22, 60, 8155462.672158), (2, None, 2, 30, 0, 1.0)]
+    with open(path, "a") as f:
+        f.write("3,2,1,22,sixty,1\n")
+    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+        read_survey(spark, path)[1].collect()
+    empty = os.path.join(tmp_dir, "empty.csv")
+    open(empty, "w").close()
+    with pytest.raises(ValueError, match="no header"):
+        read_survey(spark, empty)
 
 
 def test_survey_typed(spark):
