@@ -36,6 +36,7 @@ from ..functions.geometry import (
 from ..functions.literals import struct_array
 from ..schemas import CENTRE, KMEANS_TRACE
 from ..session import literal_frame, materialize, release
+from .incremental import Incremental
 from .postings import weighted_vectors
 
 
@@ -127,10 +128,12 @@ def kmeans_step(points: DataFrame, centres: Sequence[Point], on_empty: str = "er
     """
     if on_empty not in ("error", "keep"):
         raise ValueError("on_empty must be 'error' or 'keep'")
-    centres = check_centres(centres)
-    moved = step_means(points, centres)
+    return _moved(centres, step_means(points, centres), on_empty)
+
+
+def _moved(centres: Sequence[Point], moved: dict[Point, Point], on_empty: str) -> list[Point]:
     new: list[Point] = []
-    for c in centres:
+    for c in check_centres(centres):
         if c in moved:
             new.append(moved[c])
         elif on_empty == "keep":
@@ -146,6 +149,8 @@ class KMeansResult:
     iterations: int
     converged: bool
     trace: list[tuple] = field(default_factory=list)
+    #: Points whose nearest centre was searched for, in each step after the first.
+    searched: list[int] = field(default_factory=list)
 
     def centres_frame(self, spark: SparkSession) -> DataFrame:
         """``(pos, x, y)`` of the final centres (k rows)."""
@@ -177,14 +182,22 @@ def kmeans(
     number of the first step, as when resuming; at most
     ``max_iterations - iteration + 1`` steps run. Pass ``cache_points=False``
     when ``points`` is already a materialized ``(x, y, n)`` table.
+
+    From the second step on the points are searched again only where their nearest
+    centre may have changed (:mod:`.incremental`); the centres are the same.
     """
+    if on_empty not in ("error", "keep"):
+        raise ValueError("on_empty must be 'error' or 'keep'")
     means = check_centres(centres)
     table = materialize(weighted_vectors(points)) if cache_points else points
     trace: list[tuple] = []
+    steps = Incremental(table)
     try:
         step = iteration
         while True:
-            new = kmeans_step(table, means, on_empty)
+            # The first step moves centres furthest: bounds set before it would not hold for long.
+            moved = step_means(table, means) if step == iteration else steps.means(means)
+            new = _moved(means, moved, on_empty)
             moves = [point_distance_py(a, b) for a, b in zip(means, new)]
             distance = centres_distance_py(means, new)
             trace.extend(
@@ -196,14 +209,15 @@ def kmeans(
                 for move, a, b in sorted(zip(moves, means, new), reverse=True):
                     print(f"  {move:12g}  {a} to {b}")
             if distance < eta:
-                return KMeansResult(new, step, True, trace)
+                return KMeansResult(new, step, True, trace, steps.searched)
             if step >= max_iterations:
                 if debug:
                     print(f"stopped after step {step} without settling")
-                return KMeansResult(new, step, False, trace)
+                return KMeansResult(new, step, False, trace, steps.searched)
             means = new
             step += 1
     finally:
+        steps.close()
         if cache_points:
             release(table)
 

@@ -194,3 +194,38 @@ def test_one_row_a_point_and_distance_of_centre_lists(spark):
     assert "Exchange" not in moved._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError, match="length"):
         centers_distance_of(spark, [(0, 0)], [(0, 0), (1, 1)])
+
+
+def full_steps(points, centres, steps):
+    """Centres after each full step, in plain Python; a centre without points stays."""
+    out = []
+    for _ in range(steps):
+        sums = {}
+        for x, y, n in points:
+            c = min(centres, key=lambda c: (x - c[0]) ** 2 + (y - c[1]) ** 2)
+            a = sums.get(c, (0, 0, 0))
+            sums[c] = (a[0] + x * n, a[1] + y * n, a[2] + n)
+        cut = lambda a, n: abs(a) // n * (1 if a >= 0 else -1)
+        centres = [(cut(sums[c][0], sums[c][2]), cut(sums[c][1], sums[c][2])) if c in sums else c for c in centres]
+        out.append(centres)
+    return out
+
+
+@pytest.mark.parametrize("k, n, spread", [(45, 3000, 400), (1000, 4000, 3000)])
+def test_incremental_steps_equal_full_steps(spark, k, n, spread):
+    r = random.Random(k)
+    hubs = [(r.randrange(-spread * 8, spread * 8), r.randrange(-spread * 8, spread * 8)) for _ in range(k)]
+    points = sorted({(hx + r.randrange(-spread, spread), hy + r.randrange(-spread, spread)) for hx, hy in r.choices(hubs, k=n)})
+    points = [(x, y, r.randrange(1, 4)) for x, y in points]
+    centres = [p[:2] for p in r.sample(points, k - 2)]
+    centres += [centres[0], (10**6, 10**6)]  # a repeated centre and one without points
+    table = spark.createDataFrame(points, "x int, y int, n long").coalesce(4)
+    steps = 6
+    got = kmeans(table, centres, eta=-1.0, max_iterations=steps, on_empty="keep")
+    want = full_steps(points, centres, steps)
+    for step in range(steps):
+        assert [(t[4], t[5]) for t in got.trace if t[0] == step + 1] == want[step]
+    assert len(got.searched) == steps - 1 and got.searched[0] == len(points)
+    assert got.searched[1] < len(points) and min(got.searched[1:]) < 0.7 * len(points)
+    # A new anchor searches for all points again; on the whole fewer are searched than by full steps.
+    assert sum(got.searched) < 0.85 * len(points) * len(got.searched)
