@@ -63,28 +63,55 @@ _MATCH = "struct<s:bigint,e:bigint,v:string,l:string,r:string>"
 def located(text: Column, pattern: str | Column) -> Column:
     """All matches as ``(start, end, value, text before, text after)``, in code points.
 
-    The pieces between matches come from a split on the same pattern, so adding up lengths
-    gives positions in one pass.
+    The pieces between matches come from a split on the same pattern, and adding up lengths
+    gives positions. The sums run in blocks of about the square root of the number of matches, first inside
+    each block and then over the blocks: an array that grows by one costs a copy of itself, so
+    one run over ``n`` matches would cost ``n * n``. A text without matches is not split.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("m"))
-    none = F.lit(None).cast(_MATCH)
-    start = F.struct(F.lit(0).cast("long").alias("pos"), none.alias("open"), F.array().cast(f"array<{_MATCH}>").alias("out"))
+    matches = F.regexp_extract_all(text, pattern, F.lit(0))
+    # The matches as the one entry of a list, or of none, so that they are found once.
+    some = F.filter(F.array(matches), lambda m: F.size(m) > 0)
+    return F.flatten(F.transform(some, lambda m: _placed(m, F.split(text, pattern, -1))))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _placed(matches: Column, pieces: Column) -> Column:
+    def zipped(parts: Column) -> Column:
+        return F.arrays_zip(matches.alias("m"), F.slice(parts, F.lit(1), F.size(matches)).alias("p"), F.slice(parts, F.lit(2), F.size(matches)).alias("q"))
+
+    return _let(_let(pieces, zipped), _in_blocks)
+
+
+def _in_blocks(entries: Column) -> Column:
+    n = F.size(entries)
+    width = F.ceil(F.sqrt(n)).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(n / width).cast("int") - 1), lambda b: F.slice(entries, b * width + 1, width))
 
     def step(a: Column, x: Column) -> Column:
-        piece, match = x["p"], x["m"]
+        piece, match, after = x["p"], x["m"], x["q"]
         at = a["pos"] + F.length(piece)
-        end = at + F.coalesce(F.length(match), F.lit(0))
-        found = F.struct(at.alias("s"), end.alias("e"), match.alias("v"), F.right(piece, F.lit(WINDOW)).alias("l"), F.lit("").alias("r"))
-        o = a["open"]
-        closed = F.struct(o["s"].alias("s"), o["e"].alias("e"), o["v"].alias("v"), o["l"].alias("l"), F.left(piece, F.lit(WINDOW)).alias("r"))
-        return F.struct(
-            end.alias("pos"),
-            F.when(match.isNotNull(), found).otherwise(none).alias("open"),
-            F.when(o.isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(closed))).alias("out"),
-        )
+        end = at + F.length(match)
+        found = F.struct(at.alias("s"), end.alias("e"), match.alias("v"), F.right(piece, F.lit(WINDOW)).alias("l"), F.left(after, F.lit(WINDOW)).alias("r"))
+        return F.struct(end.alias("pos"), F.concat(a["out"], F.array(found)).alias("out"))
+
+    start = F.struct(F.lit(0).cast("long").alias("pos"), F.array().cast(f"array<{_MATCH}>").alias("out"))
+    return _let(F.transform(blocks, lambda b: F.aggregate(b, start, step)), _joined)
+
+
+def _joined(done: Column) -> Column:
+    """The blocks' matches in a row, moved by the length of the blocks before."""
+    first = F.struct(F.lit(0).cast("long").alias("pos"), F.array().cast("array<bigint>").alias("out"))
+    before = F.aggregate(done, first, lambda a, x: F.struct((a["pos"] + x["pos"]).alias("pos"), F.concat(a["out"], F.array(a["pos"])).alias("out")))["out"]
+
+    def shifted(block: Column, by: Column) -> Column:
+        return F.transform(block["out"], lambda m: F.struct((m["s"] + by).alias("s"), (m["e"] + by).alias("e"), m["v"].alias("v"), m["l"].alias("l"), m["r"].alias("r")))
 
-    return F.aggregate(pieces, start, step, lambda a: a["out"])
+    return F.flatten(F.zip_with(done, before, shifted))
 
 
 def _digits(value: Column) -> Column:

@@ -289,6 +289,25 @@ def test_personal_data_patterns(spark):
         assert got[i].n_email == sum(w[2] == "email" for w in want)
 
 
+def test_texts_of_very_many_matches_take_linear_time(spark):
+    import time
+
+    many = " ".join(f"a{i}@b{i % 7}.org" for i in range(16_000))
+    rows = [(1, many), (2, "none"), (3, None), (4, ""), (5, "x@y.zz")]
+
+    def run(of):
+        return documents(spark, of).select("doc_id", F.explode(pii.located(F.coalesce("text", F.lit("")), pii.PATTERNS["email"])).alias("m")).select("doc_id", "m.*").collect()
+
+    run(rows[1:])  # without the time to compile
+    took = time.perf_counter()
+    found = run(rows)
+    took = time.perf_counter() - took
+    want = [(1, m.start(), m.end(), m.group()) for m in re.finditer(r"\S+", many)] + [(5, 0, 6, "x@y.zz")]
+    assert sorted((r.doc_id, r.s, r.e, r.v) for r in found) == want
+    assert all(r.l == many[max(0, r.s - 1) : r.s] and r.r == many[r.e : r.e + 1] for r in found if r.doc_id == 1)
+    assert took < 10
+
+
 def test_disclosing_terms_are_found_and_cut(spark):
     rows = [(i, f"{prose(i, 30)} Quaxley writes from quax@corp.example today {prose(i + 50, 30)}".replace("w", "word")) for i in range(12)]
     rows += [(100 + i, prose(i, 60).replace("w", "word") + " today writes from") for i in range(200)]
