@@ -30,6 +30,7 @@ results; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, cut, release_memory, release_shuffles, same
 
+TOKEN_PASSES = 2
 GROUP_SHINGLES = 2_000_000
 GROUP_MEMBERS = 8192
 TILE = 512
@@ -383,13 +385,18 @@ def _row_labels(scratch: Scratch, docs: DataFrame, words: int, num: int, den: in
         F.max("n_shingles").alias("n"), F.min(F.struct("doc_id", "row_key")).alias("row"), F.max("least").alias("least")
     )
     tokens = rows.filter("n_shingles > 0").select("node", F.explode("tokens").alias("token"))
-    # One sort finds the tokens of several texts; nearly all others go before the next shuffle.
-    of_token = Window.partitionBy("token")
-    shared = tokens.withColumns({"lo": F.min("node").over(of_token), "hi": F.max("node").over(of_token)}).filter("lo < hi")
-    live = cut(shared.groupBy("node").agg(F.collect_set("token").alias("tokens")))
+    parts = []
+    for k in range(TOKEN_PASSES):  # a share of the tokens at a time is shuffled, which bounds the disk it takes
+        # One sort finds the tokens of several texts; nearly all others go before the next shuffle.
+        of_token = Window.partitionBy("token")
+        own = tokens.filter(F.pmod(F.shiftright("token", 1), F.lit(TOKEN_PASSES)) == k)
+        shared = own.withColumns({"lo": F.min("node").over(of_token), "hi": F.max("node").over(of_token)}).filter("lo < hi")
+        parts.append(cut(shared.groupBy("node").agg(F.collect_set("token").alias("tokens"))))
+        del own, shared
+        release_shuffles(docs.sparkSession)
+    live = functools.reduce(DataFrame.unionByName, parts).groupBy("node").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
     scratch.drop("rows")
-    del rows, tokens, shared
-    release_shuffles(docs.sparkSession)
+    del rows, tokens
     # A text with fewer live tokens than any linked text would share has no link.
     enough = live.join(nodes.select("node", "least"), "node")
     for parity in (0, 1):

@@ -35,8 +35,8 @@ CAPACITY = 2048
 END_ID = 1
 SHARD_PIECES = 8192
 #: Words, and cuts of words, whose ids a worker keeps; about 100 bytes each.
-CACHE_WORDS = 800_000
-CHUNK_BYTES = 8 << 20
+CACHE_WORDS = 500_000
+CHUNK_BYTES = 4 << 20
 
 
 def _take(capacity: int, counts: dict[int, int]) -> list[int]:
