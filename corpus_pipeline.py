@@ -6,14 +6,11 @@ kept. All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import exact_dedup, langid, mixing, ngram_join, packing
-from tessera.llm.common import shared_folder
+from tessera.llm.common import Scratch
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,15 +52,18 @@ STAGES = [
     ("pack", pack),
 ]
 
-#: Tokenising and fitting have no SQL form; the tests hold each stage against brute force.
+#: Tokenising and fitting have no SQL form; ``tests/llm/test_stages.py`` holds the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = os.path.join(shared_folder(spark), f"pipeline-{uuid.uuid4().hex}")
+    """All stages over ``documents``; each result is written as Parquet and read again, and
+    deleted when the next one is written."""
+    docs, scratch = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark)
+    before = None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        docs = scratch.table(name, stage(spark, docs, sf_dir))
+        if before is not None:
+            scratch.drop(before)
+        before = name
     return docs
