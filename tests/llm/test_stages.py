@@ -80,10 +80,14 @@ def test_near_duplicates_keeps_one_of_each_component(spark):
         groups[k if s else ("empty", r)].append(r)
     got = collections.Counter(kept(out))
     for rows in groups.values():
-        ids = [r[0] for r in rows if r[0] is not None]
-        stay = [r for r in rows if r[0] == (min(ids) if ids else None)]
-        assert sum(got[r] for r in set(rows)) in (len(rows) if rows[0][1] is None or not shingles(rows[0][1]) else 1, rows.count(stay[0]))
-        assert any(got[r] for r in stay)
+        here = [r for r in set(rows) if got[r]]
+        if not shingles(rows[0][1]):
+            assert got[rows[0]] == len(rows)
+            continue
+        # The smallest id stays; rows equal in id and text stay together.
+        least = min((r[0] for r in rows if r[0] is not None), default=None)
+        assert {(r[0], r[1]) for r in here} == {(least, here[0][1])}
+        assert sum(got[r] for r in here) == sum(r[:2] == here[0][:2] for r in rows)
     assert sum(got.values()) < len(ROWS) - 3
 
 
