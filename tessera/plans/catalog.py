@@ -180,7 +180,7 @@ def sample_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("point_distance")
 def point_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = weighted_points(spark, sf_dir)
-    return km.assigned_distance(points, starting_centres(points))
+    return km.point_distance(points, starting_centres(points))
 
 
 @query("nearest_center")
