@@ -18,10 +18,10 @@ DEMOGRAPHIC_COLUMNS = ("telfs", "tesex", "teage")
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Column names from the header line of a CSV; one line is read."""
-    first = spark.read.text(path).head()
-    if first is None:
+    first = spark.read.text(path).head(1)
+    if not first:
         raise ValueError(f"no header line in {path}")
-    return next(csv.reader([first["value"]]))
+    return next(csv.reader([first[0]["value"]]))
 
 
 def survey_schema(columns: Sequence[str]) -> StructType:
