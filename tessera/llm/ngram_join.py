@@ -13,10 +13,14 @@ threshold (``num / den``, compared in integers). The result is exact; the steps
    bounds a task's matrices. Each group is joined by itself: the
    shingles that several members hold form a 0/1 matrix, and its product with itself, in
    tiles, gives all overlaps.
-3. Matrix. Each group's token union is stored as (token, group) pairs. First one member a
+3. Matrix. A text that shares at least ``least`` of its tokens with any linked text shares one
+   of all but its ``least - 1`` most frequent ones; only those are looked up. Each group's union
+   of them is stored as (token, group) pairs. First one member a
    pair is compared across the groups of a token, which merges the groups of most copies.
-   Then every text is looked up: a group is opened for it if they share a token (the lower
-   bound of their overlap) and the group is not already known to be in the text's component.
+   Then every text is looked up: a group is opened for it if they share a token
+   and the group is not already known to be in the text's component. A token of more than
+   ``OPEN_GROUPS`` groups opens none: its texts are gathered and joined like a group, so
+   what is looked up grows with the tokens, not with texts times groups.
 4. Components of the links found, as labels that shrink to the smallest.
 
 Equal sets are one node throughout, so copies cost one row. A node's id is a 64-bit hash of
@@ -43,6 +47,7 @@ from .common import Scratch, cut, release_memory, release_shuffles, same
 TOKEN_PASSES = 2
 GROUP_SHINGLES = 2_000_000
 GROUP_MEMBERS = 8192
+OPEN_GROUPS = 4
 TILE = 512
 SLICE = 32
 BATCH = 500
@@ -292,13 +297,21 @@ def _local_labels(placed: DataFrame, words: int, num: int, den: int) -> DataFram
 
 
 def _opened_links(cells: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Links ``(a, b)`` of labels, from cells of members and then the texts that opened the group."""
+    """Links ``(a, b)`` of labels, from cells of members and then the texts that opened the group.
+
+    The members of a gathered token (``block`` below zero) are joined with each other too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, sets, labels, members, asked = None, [], [], None, []
 
-        def answers() -> pa.RecordBatch:
-            pairs = set()
+        def among() -> set:
+            if at is None or at[1] >= 0 or len(set(labels)) < 2:
+                return set()
+            return {(a, b) for a, b in zip(labels, join_members(labels, sets, num, den)) if a != b}
+
+        def answers(ends: bool) -> pa.RecordBatch:
+            pairs = among() if ends else set()
             if asked:
                 found = members.links_of([s for _, s in asked], num, den)
                 for (label, _), hit in zip(asked, found):
@@ -311,19 +324,21 @@ def _opened_links(cells: DataFrame, words: int, num: int, den: int) -> DataFrame
             lists = batch.column("shingles")
             for row, (token, block, query, label) in enumerate(zip(*columns)):
                 if (token, block) != at:
-                    yield answers()
+                    yield answers(ends=True)
                     at, sets, labels, members = (token, block), [], [], None
                 values = lists[row].values.to_numpy()
                 if not query:
                     sets.append(values)
                     labels.append(label)
                     continue
+                if not sets:  # a block that no text of a gathered token fell into
+                    continue
                 if members is None:
                     members, own = Members(sets, 1), np.array(labels, np.int64)
                 asked.append((label, values))
                 if len(asked) == TILE:
-                    yield answers()
-        yield answers()
+                    yield answers(ends=False)
+        yield answers(ends=True)
         members, sets = None, []
         release_memory()
 
@@ -372,6 +387,15 @@ def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     return cut(joined.select("node", F.coalesce("m_label", "label").alias("label")))
 
 
+def _enough(live: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``live(node, tokens)`` with ``least`` and the tokens of either parity in order, ``t0`` and ``t1``: none if fewer than any linked text shares."""
+    out = live.join(nodes.select("node", "least"), "node")
+    for parity in (0, 1):
+        own = F.filter("tokens", lambda t: F.pmod(t, F.lit(2)) == parity)  # noqa: B023
+        out = out.withColumn(f"t{parity}", F.when(F.size(own) >= F.col("least")[parity], own).otherwise(F.array().cast("array<long>")))
+    return out
+
+
 def row_labels(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, group_shingles: int = GROUP_SHINGLES, group_members: int = GROUP_MEMBERS) -> DataFrame:
     """``(doc_id, row_key, n_shingles, label)`` for every row of ``docs``: one label a component, null without shingles."""
     with Scratch(docs.sparkSession) as scratch:
@@ -398,13 +422,13 @@ def _row_labels(scratch: Scratch, docs: DataFrame, words: int, num: int, den: in
     scratch.drop("rows")
     del rows, tokens
     # A text with fewer live tokens than any linked text would share has no link.
-    enough = live.join(nodes.select("node", "least"), "node")
-    for parity in (0, 1):
-        own = F.filter("tokens", lambda t: F.pmod(t, F.lit(2)) == parity)  # noqa: B023
-        enough = enough.withColumn(f"t{parity}", F.when(F.size(own) >= F.col("least")[parity], own).otherwise(F.array().cast("array<long>")))
-    live = cut(enough.select("node", F.explode(F.concat("t0", "t1")).alias("token")))
-    again = live.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("token")
-    live = cut(live.join(again, "token").select("token", "node"))
+    live = cut(_enough(live, nodes).select("node", F.explode(F.concat("t0", "t1")).alias("token")))
+    again = live.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("texts")).filter("lo < hi")
+    live = cut(live.join(again, "token").select("token", "node", "texts"))
+    rarest = live.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("texts", "token"))).alias("rare"))
+    rarest = _enough(rarest.select("node", F.col("rare.token").alias("tokens")), nodes)
+    first = [F.slice(F.col(f"t{p}"), F.lit(1), F.greatest(F.size(f"t{p}") - F.col("least")[p] + 1, F.lit(0)).cast("int")) for p in (0, 1)]
+    sought = cut(rarest.select("node", F.explode(F.concat(*first)).alias("token")))
 
     smallest = live.groupBy("node").agg(F.min("token").alias("home"))
     shared = live.join(smallest, "node").groupBy("token").agg(F.min("home").alias("home"))
@@ -412,9 +436,9 @@ def _row_labels(scratch: Scratch, docs: DataFrame, words: int, num: int, den: in
     home = cut(home.join(nodes, "node"))
     sizes = home.groupBy("token").agg(F.ceil(F.greatest(F.sum("n") / F.lit(group_shingles), F.count("*") / F.lit(group_members))).alias("blocks"))
     chosen = cut(
-        home.join(sizes, "token").select("node", "token", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long").alias("block"), F.col("row.row_key").alias("row_key"))
+        home.join(sizes, "token").select("node", "token", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long").alias("block"), F.col("row.row_key").alias("row_key"), "n")
     )
-    homes = chosen.select("node", "token", "block")
+    homes = chosen.select("node", "token", "block", "n")
     # De-duplication and join share one shuffle of the texts.
     texts = docs.select(F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row_key"), "text").dropDuplicates(["row_key"])
     texts = texts.join(chosen, "row_key").select("node", "token", "block", "text")
@@ -427,7 +451,7 @@ def _row_labels(scratch: Scratch, docs: DataFrame, words: int, num: int, den: in
     release_shuffles(docs.sparkSession)
 
     where = homes.withColumnsRenamed({"token": "g_token", "block": "g_block"})
-    marked = cut(live.join(where, "node").join(labels, "node"))
+    marked = cut(sought.join(where, "node").join(labels, "node"))
     matrix = marked.groupBy("token", "g_token", "g_block").agg(
         F.min("node").alias("rep"), F.min("label").alias("lo"), F.max("label").alias("hi")
     )
@@ -440,16 +464,33 @@ def _row_labels(scratch: Scratch, docs: DataFrame, words: int, num: int, den: in
     pairs = reps.join(one, "rep").join(two, "first").filter("a <> b").select("a", "b", "text_left", "text_right")
     labels = _relabel(labels, _pair_links(pairs, words, num, den))
 
-    marked = marked.drop("label").join(labels, "node")
-    matrix = cut(marked.groupBy("token", "g_token", "g_block").agg(F.min("label").alias("lo"), F.max("label").alias("hi")))
-    asked = marked.select("token", "node", "label", F.col("g_token").alias("own_token"), F.col("g_block").alias("own_block"))
+    marked = cut(marked.drop("label").join(labels, "node"))
+    matrix = cut(
+        marked.groupBy("token", "g_token", "g_block").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("texts"), F.sum("n").alias("n")
+        )
+    )
+    # Tokens whose texts are not known to be of one component.
+    open_tokens = matrix.groupBy("token").agg(
+        F.count("*").alias("groups"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("texts").alias("texts"), F.sum("n").alias("n")
+    ).filter("lo < hi AND groups > 1")
+    blocks = F.ceil(F.greatest(F.col("n") / F.lit(group_shingles), F.col("texts") / F.lit(group_members))).alias("blocks")
+    open_tokens = cut(open_tokens.select("token", "groups", blocks))
+    few = open_tokens.filter(F.col("groups") <= OPEN_GROUPS).select("token")
+    asked = marked.join(few, "token").select("token", "node", "label", F.col("g_token").alias("own_token"), F.col("g_block").alias("own_block"))
     elsewhere = ~((F.col("g_token") == F.col("own_token")) & (F.col("g_block") == F.col("own_block")))
     unknown = (F.col("lo") != F.col("label")) | (F.col("hi") != F.col("label"))
-    opened = asked.join(matrix, "token").filter(elsewhere & unknown).select("node", "g_token", "g_block").distinct()
+    opened = asked.join(matrix.join(few, "token"), "token").filter(elsewhere & unknown).select("node", "g_token", "g_block").distinct()
     opened = cut(opened.withColumnsRenamed({"g_token": "token", "g_block": "block"}))
-    if not opened.isEmpty():
+    gathered = marked.join(open_tokens.filter(F.col("groups") > OPEN_GROUPS), "token")
+    gathered = gathered.select("token", "node", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long").alias("own"))
+    # In its own block a text is a member, in the blocks before it a query.
+    gathered = gathered.select("token", "node", "own", F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("k"))
+    gathered = cut(gathered.select("token", (-1 - F.col("k")).alias("block"), "node", (F.col("k") < F.col("own")).alias("query")))
+    if not opened.isEmpty() or not gathered.isEmpty():
         members = placed.join(opened.select("token", "block").distinct(), ["token", "block"]).select("token", "block", "node", "text", F.lit(False).alias("query"))
-        queries = opened.join(sets, "node").select("token", "block", "node", "text", F.lit(True).alias("query"))
+        queries = opened.withColumn("query", F.lit(True)).union(gathered.select("node", "token", "block", "query"))
+        queries = queries.join(sets, "node").select("token", "block", "node", "text", "query")
         cells = members.union(queries).join(labels, "node")
         labels = _relabel(labels, _opened_links(cells.select("token", "block", "query", "label", "text"), words, num, den))
 
