@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +78,22 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, limit: int = 2 << 20) -> Iterator[None]:
+    """Inside, rows go to Python workers in Arrow batches of about ``limit`` bytes.
+
+    By default a batch has 10,000 rows or 64 MB, which the executor's JVM and the worker both hold, for
+    each running task, outside the heap. Holds for what is computed inside, not for later plans.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def release_memory() -> None:
     """Give a Python worker's freed memory back at the end of a task: the worker stays for the next.
 

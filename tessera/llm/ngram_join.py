@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, cut, release_memory, release_shuffles, same
+from .common import Scratch, cut, release_memory, release_shuffles, same, small_batches
 
 TOKEN_PASSES = 2
 GROUP_SHINGLES = 2_000_000
@@ -398,7 +398,7 @@ def _enough(live: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def row_labels(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, group_shingles: int = GROUP_SHINGLES, group_members: int = GROUP_MEMBERS) -> DataFrame:
     """``(doc_id, row_key, n_shingles, label)`` for every row of ``docs``: one label a component, null without shingles."""
-    with Scratch(docs.sparkSession) as scratch:
+    with Scratch(docs.sparkSession) as scratch, small_batches(docs.sparkSession):
         return _row_labels(scratch, docs, words, num, den, group_shingles, group_members)
 
 

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, release_memory
+from .common import cut, release_memory, small_batches
 
 CAPACITY = 2048
 END_ID = 1
@@ -239,7 +239,8 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces of at most ``capacity`` tokens."""
-    pieces = cut(pieces)
+    with small_batches(pieces.sparkSession):
+        pieces = cut(pieces)
     shards = max(1, -(-pieces.count() // shard_pieces))
     # The place in the checkpoint deals out rows that are equal in everything.
     salted = F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens", F.monotonically_increasing_id())

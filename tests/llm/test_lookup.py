@@ -48,3 +48,19 @@ def test_gathered_tokens_find_every_link(spark, monkeypatch, groups, members):
     sets = [set(t.split()) for t in texts]
     got = ngram_join.link_components(documents(spark, list(enumerate(texts))), 1, 80, 100, group_members=members).collect()
     assert [c for _, c in sorted((r.doc_id, r.component_id) for r in got)] == by_brute_force(sets, 80)
+
+
+def test_rows_go_to_python_in_small_batches(spark):
+    import pyarrow as pa
+
+    from tessera.llm.common import cut, small_batches
+
+    def rows(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([max(b.num_rows for b in batches)], pa.int64())], names=["n"])
+
+    texts = spark.range(0, 4000, 1, 1).selectExpr("id", "repeat('abcd', 500) AS text").mapInArrow(rows, "n long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    with pytest.raises(RuntimeError), small_batches(spark):
+        assert cut(texts).first().n < 2000
+        raise RuntimeError
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
